@@ -60,8 +60,8 @@ def densify(
     rows = Window.partitionBy(*keys).orderBy(date)
     following = F.lead(date).over(rows)
     until = F.coalesce(F.date_sub(following, 1), F.col(date))
-    opened = daily.withColumn(
-        "__day", F.explode(F.sequence(F.col(date), until, F.expr("interval 1 day"))))
+    opened = daily.withColumn("__until", until).withColumn(
+        "__day", F.explode(F.sequence(F.col(date), F.col("__until"), F.expr("interval 1 day"))))
     real = F.col("__day") == F.col(date)
     values = [F.when(real, F.col(name)).otherwise(F.lit(value)).alias(name)
               for name, value in fill.items()]

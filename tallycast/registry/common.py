@@ -11,6 +11,15 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({name: F.round(F.col(name), digits) for name in columns})
 
 
+# Means of amounts can end exactly on a rounding tie, where the last bit of a sum
+# would decide.  Adding this constant before rounding moves every such tie away.
+TIE_SHIFT = 0.0000314159
+
+
+def rounded_off_ties(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+    return df.withColumns({name: F.round(F.col(name) + TIE_SHIFT, digits) for name in columns})
+
+
 # Revenue and COGS per segment and day, and the same with every day present.
 DAILY_SQL = """
 daily AS (

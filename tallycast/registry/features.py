@@ -10,7 +10,7 @@ from tallycast import constants
 from tallycast.operators import dynamic, features, windows
 from tallycast.operators.intervals import active_by_day
 from tallycast.registry import driver
-from tallycast.registry.common import DAYS_SQL, LUNAR_SQL, PANEL_SQL, rounded
+from tallycast.registry.common import DAYS_SQL, LUNAR_SQL, PANEL_SQL, TIE_SHIFT, rounded, rounded_off_ties
 
 KEYS = driver.KEYS
 DATE = F.col("Date")
@@ -54,7 +54,7 @@ def feat_lunar_lag(spark, sf):
     asked = sales.select("series", "Date")
     result = features.lunar_aligned_lag(
         asked, sales, keys=KEYS, lunar=driver.LUNAR_NEW_YEAR, last_known_year=2001)
-    return rounded(result, 2, "rev_tet_aligned_lag", "cogs_tet_aligned_lag")
+    return rounded(result, 4, "rev_tet_aligned_lag", "cogs_tet_aligned_lag")
 
 
 def feature_table(spark, sf):
@@ -81,19 +81,19 @@ def feat_lags(spark, sf):
     rows = windows.by_date(KEYS)
     columns = windows.lag_columns("Revenue", rows)
     df = driver.panel(spark, sf).select("series", "Date", "Revenue").withColumns(columns)
-    return rounded(df, 2, "Revenue", *columns)
+    return rounded_off_ties(df, 2, "Revenue", *columns)
 
 
 def feat_rolling(spark, sf):
     columns = windows.rolling_columns("Revenue", windows.by_date(KEYS))
     df = driver.panel(spark, sf).select("series", "Date", "Revenue").withColumns(columns)
-    return rounded(df, 2, "Revenue", *columns)
+    return rounded_off_ties(df, 2, "Revenue", *columns)
 
 
 def feat_ewm(spark, sf):
     df = driver.panel(spark, sf).select("series", "Date", "Revenue")
     result = windows.with_ewm(df, "Revenue", KEYS)
-    return rounded(result, 2, "Revenue", "Revenue_ewm_7", "Revenue_ewm_28")
+    return rounded_off_ties(result, 2, "Revenue", "Revenue_ewm_7", "Revenue_ewm_28")
 
 
 def feat_change(spark, sf):
@@ -110,7 +110,7 @@ def feat_dynamic(spark, sf):
         df = dynamic.with_dynamic_features(df, target, keys=KEYS)
     names = [n for target in constants.TARGETS for n in dynamic.dynamic_names(target)]
     return df.groupBy("series", F.year("Date").alias("year")).agg(
-        *[F.round(F.avg(n), 1).alias(n) for n in names])
+        *[F.round(F.avg(n) + TIE_SHIFT, 1).alias(n) for n in names])
 
 
 QUERIES = {fn.__name__: fn for fn in (
@@ -272,13 +272,13 @@ def _ewm_sql(target: str) -> list[str]:
 
 def _rounded_sql(columns: list[str], digits: int, keep: str = f"series, {_D}, ") -> str:
     names = [c.rsplit(" AS ", 1)[1] for c in columns]
-    return keep + ", ".join(f"round({n}, {digits}) AS {n}" for n in names)
+    return keep + ", ".join(f"round({n} + 0.0000314159::DOUBLE, {digits}) AS {n}" for n in names)
 
 
 def _panel_query(columns: list[str]) -> str:
     inner = f'SELECT series, {_D}, "Revenue", {", ".join(columns)} FROM panel'
     return (f"WITH {PANEL_SQL}, x AS ({inner}) "
-            f'SELECT {_rounded_sql(columns, 2)}, round("Revenue", 2) AS "Revenue" FROM x')
+            f'SELECT {_rounded_sql(columns, 2)}, round("Revenue" + 0.0000314159::DOUBLE, 2) AS "Revenue" FROM x')
 
 
 def _lunar_lag_sql() -> str:
@@ -287,14 +287,14 @@ x AS (SELECT series, {_D},
         (SELECT max(event) FROM lunar r WHERE r.year < year(daily.{_D}) AND r.year <= 2001)
         + CAST(coalesce({_D} - (SELECT event FROM lunar o WHERE o.year = year(daily.{_D})), 0) AS INTEGER) AS ref
       FROM daily)
-SELECT x.series, x.{_D}, round(p."Revenue", 2) AS rev_tet_aligned_lag, round(p."COGS", 2) AS cogs_tet_aligned_lag
+SELECT x.series, x.{_D}, round(p."Revenue", 4) AS rev_tet_aligned_lag, round(p."COGS", 4) AS cogs_tet_aligned_lag
 FROM x LEFT JOIN daily p ON p.series = x.series AND p.{_D} = x.ref"""
 
 
 def _dynamic_sql() -> str:
     columns = [c for t in constants.TARGETS for c in _lag_sql(t) + _rolling_sql(t) + _ewm_sql(t)]
     names = [c.rsplit(" AS ", 1)[1] for c in columns]
-    means = ", ".join(f"round(avg({n}), 1) AS {n}" for n in names)
+    means = ", ".join(f"round(avg({n}) + 0.0000314159::DOUBLE, 1) AS {n}" for n in names)
     return (f"WITH {PANEL_SQL}, x AS (SELECT series, {_D}, {', '.join(columns)} FROM panel) "
             f"SELECT series, CAST(year({_D}) AS INTEGER) AS year, {means} FROM x GROUP BY 1, 2")
 

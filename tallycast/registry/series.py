@@ -14,7 +14,7 @@ from tallycast.operators import panel, ranking, reshape
 from tallycast.operators.aggregates import condition_share
 from tallycast.plans import diagnostics
 from tallycast.registry import driver
-from tallycast.registry.common import DAILY_SQL, LUNAR_SQL, PANEL_SQL, rounded
+from tallycast.registry.common import DAILY_SQL, LUNAR_SQL, PANEL_SQL, rounded, rounded_off_ties
 from tallycast.sources.dimensions import spine_of
 from tallycast.sources.tables import read_parquet_table
 
@@ -41,17 +41,17 @@ def daily_components(spark, sf):
     orders = driver.orders_of_customers(spark, sf)
     daily = panel.daily_components(
         orders, driver.order_items(spark, sf), keys=KEYS, cancelled="P")
-    return rounded(daily, 2, "rev_recon", "aov")
+    return rounded_off_ties(rounded(daily, 4, "rev_recon"), 2, "aov")
 
 
 def dense_panel(spark, sf):
-    return rounded(driver.panel(spark, sf), 2, "Revenue", "COGS")
+    return rounded(driver.panel(spark, sf), 4, "Revenue", "COGS")
 
 
 def diag_summary(spark, sf):
     result = diagnostics.summary(driver.daily_sales(spark, sf), keys=KEYS)
-    money = ["mean_revenue", "min_revenue", "max_revenue", "mean_cogs"]
-    return rounded(rounded(result, 2, *money), 8, "mean_margin")
+    means = rounded_off_ties(result, 2, "mean_revenue", "mean_cogs")
+    return rounded(rounded(means, 4, "min_revenue", "max_revenue"), 8, "mean_margin")
 
 
 def diag_yearly(spark, sf):
@@ -74,7 +74,7 @@ def diag_ratio(spark, sf):
 def diag_top10(spark, sf):
     total = driver.daily_sales(spark, sf).groupBy("Date").agg(
         F.sum("Revenue").alias("Revenue"), F.sum("COGS").alias("COGS"))
-    return rounded(diagnostics.top_days(total, 10), 2, "Revenue", "COGS")
+    return rounded(diagnostics.top_days(total, 10), 4, "Revenue", "COGS")
 
 
 def diag_weight_share(spark, sf):
@@ -103,8 +103,8 @@ def clip_cap_round(spark, sf):
         F.sum(at_least(F.col("unit_price"), 20000.0)).alias("clipped"),
         F.sum(at_most(F.col("cogs"), F.col("revenue") * 0.98)).alias("capped"),
         F.count_if(round_half_even(F.col("unit_price") / 1000, 0) % 2 == 0).alias("even"),
-    ).select("ship_day", F.round("clipped", 2).alias("clipped"),
-             F.round("capped", 2).alias("capped"), "even")
+    ).select("ship_day", F.round("clipped", 4).alias("clipped"),
+             F.round("capped", 4).alias("capped"), "even")
 
 
 def log_transform(spark, sf):
@@ -121,7 +121,7 @@ def fill_median(spark, sf):
     daily = panel.daily_components(
         orders, driver.order_items(spark, sf), keys=KEYS, cancelled="P")
     dense = panel.densify(daily, keys=KEYS, fill={"n_orders": 0, "aov": None})
-    return rounded(panel.fill_with_median(dense, "aov", keys=KEYS), 2, "aov")
+    return rounded_off_ties(panel.fill_with_median(dense, "aov", keys=KEYS), 2, "aov")
 
 
 def date_filter(spark, sf):
@@ -136,7 +136,7 @@ def head_tail(spark, sf):
     """The first and last five days of the total series."""
     total = driver.daily_sales(spark, sf).groupBy("Date").agg(F.sum("Revenue").alias("Revenue"))
     ends = ranking.first_rows(total, 5, "Date").unionByName(ranking.last_rows(total, 5, "Date"))
-    return rounded(ends, 2, "Revenue")
+    return rounded(ends, 4, "Revenue")
 
 
 def future_rows(spark, sf):
@@ -145,7 +145,7 @@ def future_rows(spark, sf):
     last = sales.groupBy("series").agg(F.max("Date").alias("last"))
     future = last.select("series", F.explode(F.sequence(
         F.date_add("last", 1), F.date_add("last", 7), F.expr("interval 1 day"))).alias("Date"))
-    return rounded(reshape.append_future(sales, future), 2, "Revenue")
+    return rounded(reshape.append_future(sales, future), 4, "Revenue")
 
 
 def order_sample(spark, sf):
@@ -181,15 +181,15 @@ SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL
 FROM orders""",
     "daily_components": f"""
 WITH {_COMPONENTS}
-SELECT series, "Date", n_orders, round(rev_recon, 2) AS rev_recon, round(aov, 2) AS aov FROM comp""",
+SELECT series, "Date", n_orders, round(rev_recon, 4) AS rev_recon, round(aov + 0.0000314159::DOUBLE, 2) AS aov FROM comp""",
     "dense_panel": f"""
 WITH {PANEL_SQL}
-SELECT series, "Date", round("Revenue", 2) AS "Revenue", round("COGS", 2) AS "COGS" FROM panel""",
+SELECT series, "Date", round("Revenue", 4) AS "Revenue", round("COGS", 4) AS "COGS" FROM panel""",
     "diag_summary": f"""
 WITH {DAILY_SQL}
 SELECT series, count(*) AS rows, min("Date") AS first_date, max("Date") AS last_date,
-       round(avg("Revenue"), 2) AS mean_revenue, round(min("Revenue"), 2) AS min_revenue,
-       round(max("Revenue"), 2) AS max_revenue, round(avg("COGS"), 2) AS mean_cogs,
+       round(avg("Revenue") + 0.0000314159::DOUBLE, 2) AS mean_revenue, round(min("Revenue"), 4) AS min_revenue,
+       round(max("Revenue"), 4) AS max_revenue, round(avg("COGS") + 0.0000314159::DOUBLE, 2) AS mean_cogs,
        round(1 - avg("COGS" / greatest("Revenue", 1)), 8) AS mean_margin
 FROM daily GROUP BY series""",
     "diag_yearly": f"""
@@ -219,7 +219,7 @@ SELECT series, count(v) AS count, round(avg(v), 8) AS mean, round(stddev_samp(v)
 FROM x GROUP BY series""",
     "diag_top10": f"""
 WITH {DAILY_SQL}, t AS (SELECT "Date", sum("Revenue") AS r, sum("COGS") AS c FROM daily GROUP BY 1)
-SELECT "Date", round(r, 2) AS "Revenue", round(c, 2) AS "COGS" FROM t ORDER BY r DESC, "Date" LIMIT 10""",
+SELECT "Date", round(r, 4) AS "Revenue", round(c, 4) AS "COGS" FROM t ORDER BY r DESC, "Date" LIMIT 10""",
     "diag_weight_share": f"""
 WITH {DAILY_SQL}, x AS (SELECT series, year("Date") BETWEEN 1996 AND 1999 AS s FROM daily)
 SELECT series, count(*) FILTER (s) AS stable_days, count(*) FILTER (NOT s) AS other_days,
@@ -237,8 +237,8 @@ WITH {DAILY_SQL}
 SELECT series, round(median("COGS" / greatest("Revenue", 1)), 9) AS cogs_ratio FROM daily GROUP BY 1""",
     "clip_cap_round": """
 SELECT strftime(l_shipdate, '%Y-%m-%d') AS ship_day,
-       round(sum(greatest(l_extendedprice, 20000)), 2) AS clipped,
-       round(sum(least(l_extendedprice * 0.95::DOUBLE, l_extendedprice * (1 - l_discount) * 0.98::DOUBLE)), 2) AS capped,
+       round(sum(greatest(l_extendedprice, 20000)), 4) AS clipped,
+       round(sum(least(l_extendedprice * 0.95::DOUBLE, l_extendedprice * (1 - l_discount) * 0.98::DOUBLE)), 4) AS capped,
        count(*) FILTER (round_even(l_extendedprice / 1000, 0) % 2 = 0) AS even
 FROM lineitem GROUP BY 1""",
     "log_transform": f"""
@@ -249,7 +249,7 @@ WITH {_COMPONENTS},
 spine AS (SELECT series, CAST(unnest(generate_series(min("Date")::TIMESTAMP, max("Date")::TIMESTAMP,
           INTERVAL 1 DAY)) AS DATE) AS "Date" FROM comp GROUP BY series),
 med AS (SELECT series, median(aov) AS m FROM comp GROUP BY series)
-SELECT s.series, s."Date", coalesce(n_orders, 0) AS n_orders, round(coalesce(aov, m), 2) AS aov
+SELECT s.series, s."Date", coalesce(n_orders, 0) AS n_orders, round(coalesce(aov, m) + 0.0000314159::DOUBLE, 2) AS aov
 FROM spine s JOIN med ON med.series = s.series
 LEFT JOIN comp c ON c.series = s.series AND c."Date" = s."Date" """,
     "date_filter": f"""
@@ -258,11 +258,11 @@ SELECT strftime("Date", '%Y-%m') AS month, round(sum("Revenue"), 1) AS revenue,
        round(avg(CASE WHEN "COGS" > "Revenue" THEN 1.0::DOUBLE ELSE 0 END), 9) AS loss_share
 FROM daily WHERE "Date" > DATE '2001-01-31' GROUP BY 1""",
     "head_tail": f"""
-WITH {DAILY_SQL}, t AS (SELECT "Date", round(sum("Revenue"), 2) AS "Revenue" FROM daily GROUP BY 1)
+WITH {DAILY_SQL}, t AS (SELECT "Date", round(sum("Revenue"), 4) AS "Revenue" FROM daily GROUP BY 1)
 (SELECT * FROM t ORDER BY "Date" LIMIT 5) UNION ALL (SELECT * FROM t ORDER BY "Date" DESC LIMIT 5)""",
     "future_rows": f"""
 WITH {DAILY_SQL}
-SELECT series, "Date", round("Revenue", 2) AS "Revenue" FROM daily
+SELECT series, "Date", round("Revenue", 4) AS "Revenue" FROM daily
 UNION ALL
 SELECT series, CAST(max("Date") + CAST(k AS INTEGER) AS DATE), NULL FROM daily, range(1, 8) t(k) GROUP BY series, k""",
 }

@@ -37,7 +37,7 @@ def main(folder: str, names: list[str]) -> int:
                 status = f"rows {len(df.collect())}"
         except Exception as error:  # report and go on with the next query
             failed += 1
-            status = f"ERROR {type(error).__name__} {str(error)[:1500]}"
+            status = f"ERROR {type(error).__name__} {str(error)[:300]!r}"
         print(f"{time.time() - started:6.2f}s {name}: {status}", flush=True)
     spark.stop()
     return failed
