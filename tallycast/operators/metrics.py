@@ -31,10 +31,13 @@ def mape(scored: DataFrame, *, keys: Sequence[str], actual: str = "y", predicted
 
 
 def best_variant(metrics: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
-    """The variant with the smallest sum of MAE over targets, ties by name."""
+    """The variant with the smallest sum of MAE over targets, ties by name.
+
+    Sums that differ only in summation order count as equal.
+    """
     totals = metrics.groupBy(*keys, "variant").agg(F.sum("mae").alias("sum_mae"))
     return totals.groupBy(*keys).agg(
-        F.min_by("variant", F.struct("sum_mae", "variant")).alias("variant"),
+        F.min_by("variant", F.struct(F.round("sum_mae", 4), F.col("variant"))).alias("variant"),
         F.min("sum_mae").alias("sum_mae"),
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast.operators.panel import densify, order_totals
+from tallycast.session import cut_lineage
 
 KEYS = ["series"]
 
@@ -130,6 +131,15 @@ def panel(spark: SparkSession, folder: str) -> DataFrame:
     return densify(daily_sales(spark, folder), keys=KEYS, fill={"Revenue": 0.0, "COGS": 0.0})
 
 
+def panel_once(spark: SparkSession, folder: str) -> DataFrame:
+    """The panel written once, for plans that read it several times.
+
+    It has one row per segment and day, while the facts behind it are scanned
+    and joined a single time.
+    """
+    return cut_lineage(panel(spark, folder))
+
+
 def order_days(spark: SparkSession, folder: str) -> DataFrame:
     """Every day of the order calendar with its number of orders."""
     counts = orders(spark, folder).groupBy(F.col("order_date").alias("Date")).agg(

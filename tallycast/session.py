@@ -22,6 +22,7 @@ def build_session(app: str, *, master: str | None = None, **conf: str) -> SparkS
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
