@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -49,9 +50,11 @@ def daily_components(
 
 
 def densify(
-    daily: DataFrame, *, keys: Sequence[str], fill: Mapping[str, float], date: str = "Date"
+    daily: DataFrame, *, keys: Sequence[str], fill: Mapping[str, float | None],
+    date: str = "Date", until: dt.date | None = None,
 ) -> DataFrame:
-    """Add the missing days of each series between its first and last day.
+    """Add the missing days of each series between its first and last day, or
+    up to ``until`` if that is later.
 
     Row windows then agree with the calendar.  ``daily`` has one row per series
     and day, so each series' days fit one array and no join is needed to find
@@ -59,8 +62,8 @@ def densify(
     """
     rows = Window.partitionBy(*keys).orderBy(date)
     following = F.lead(date).over(rows)
-    until = F.coalesce(F.date_sub(following, 1), F.col(date))
-    opened = daily.withColumn("__until", until).withColumn(
+    end = F.col(date) if until is None else F.greatest(F.col(date), F.lit(until))
+    opened = daily.withColumn("__until", F.coalesce(F.date_sub(following, 1), end)).withColumn(
         "__day", F.explode(F.sequence(F.col(date), F.col("__until"), F.expr("interval 1 day"))))
     real = F.col("__day") == F.col(date)
     values = [F.when(real, F.col(name)).otherwise(F.lit(value)).alias(name)

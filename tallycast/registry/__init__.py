@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("business", "series", "features", "forecasts")
+_MODULES = ("business", "series", "features", "forecasts", "models")
 
 
 def _merged(attribute: str) -> dict:
