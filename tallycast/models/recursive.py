@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tallycast import constants
 from tallycast.models.ridge import RidgeModel
 from tallycast.operators.dynamic import dynamic_names
+from tallycast.operators.rolling import fewest_values, mean_and_deviation
 from tallycast.operators.windows import with_ewm
 
 SERIES_PER_STEP = 1000
@@ -112,7 +113,7 @@ def roll_forward(
         now = memory + step
         columns = [values[:, now - lag] for lag in lags]
         for width in windows:
-            columns += _mean_and_deviation(values[:, now - width:now], max(2, width // 3))
+            columns += mean_and_deviation(values[:, now - width:now], fewest_values(width))
         columns += [np.where(lengths + step >= 3, mean, np.nan) for mean in means.values()]
         inputs = np.nan_to_num(np.column_stack(columns), nan=0.0)
         predicted = np.maximum(np.expm1(fixed + inputs @ slopes), 0.0)
@@ -121,14 +122,3 @@ def roll_forward(
             share = 2.0 / (span + 1)
             means[span] = predicted * share + mean * (1.0 - share)
     return values[:, memory:]
-
-
-def _mean_and_deviation(frame: np.ndarray, enough: int) -> list[np.ndarray]:
-    """Row means and sample deviations of the known values, NaN with too few."""
-    known = ~np.isnan(frame)
-    count = known.sum(axis=1)
-    mean = np.where(known, frame, 0.0).sum(axis=1) / np.maximum(count, 1)
-    spread = np.where(known, frame - mean[:, None], 0.0)
-    deviation = np.sqrt((spread * spread).sum(axis=1) / np.maximum(count - 1, 1))
-    usable = count >= enough
-    return [np.where(usable, mean, np.nan), np.where(usable, deviation, np.nan)]

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tallycast import constants
@@ -56,56 +56,45 @@ def as_vectors(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> D
         *keep, "features")
 
 
-def column_moments(vectors: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
-    """Mean and population deviation of each vector entry; a deviation of 0 becomes 1."""
-    found = vectors.select(
-        Summarizer.metrics("mean", "variance", "count").summary(F.col("features")).alias("s")
-    ).select("s.*").first()
-    n = int(found["count"])
-    spread = np.sqrt(found["variance"].toArray() * (n - 1) / max(n, 1))
-    return found["mean"].toArray(), np.where(spread == 0.0, 1.0, spread), n
+def column_moments(vectors: DataFrame, *extra: Column) -> Row:
+    """Count, mean and population deviation of each vector entry (0 becomes 1), in one pass."""
+    found = vectors.agg(
+        Summarizer.metrics("mean", "variance", "count").summary(F.col("features")).alias("s"),
+        *extra).first()
+    summary = found["s"]
+    n = int(summary["count"])
+    spread = np.sqrt(summary["variance"].toArray() * (n - 1) / max(n, 1))
+    scales = np.where(spread == 0.0, 1.0, spread)
+    return Row(n=n, means=summary["mean"].toArray(), scales=scales, extra=found[1:])
 
 
 def fit_ridge(
     df: DataFrame, features: Sequence[str], label: str, *, alpha: float = constants.RIDGE_ALPHA
 ) -> RidgeModel:
-    """Least squares with penalty ``alpha`` on the standardised weights.
+    """Least squares with penalty ``alpha`` on the weights of standardised features.
 
-    Spark divides the squared error by the number of rows and scales the
-    penalty by the label's deviation, hence the conversion of ``alpha``.
-    Columns without variation get weight 0.
+    Spark standardises inside its single pass over the rows.  It divides the
+    squared error by the number of rows and measures the penalty in units of
+    the label's deviation, hence the conversion of ``alpha``.  Columns without
+    variation get weight 0.
     """
     named = df.withColumn("__label", F.col(label).cast("double"))
     vectors = as_vectors(named, features, ["__label"])
-    means, scales, n = column_moments(vectors)
-    deviation = vectors.agg(F.stddev_pop("__label")).first()[0] or 0.0
-    moving = [name for name, varies in zip(
-        features, _varies(vectors, len(features))) if varies]
-    position = {name: i for i, name in enumerate(features)}
-    scaled = as_vectors(
-        named.select("__label", *[
-            ((F.coalesce(F.col(name).cast("double"), F.lit(0.0)) - float(means[position[name]]))
-             / float(scales[position[name]])).alias(name) for name in moving]),
-        moving, ["__label"])
+    moments = column_moments(vectors, F.stddev_pop("__label"))
     fitted = LinearRegression(
         featuresCol="features", labelCol="__label", solver="normal", elasticNetParam=0.0,
-        standardization=False, regParam=alpha / n * deviation).fit(scaled)
-    weights = dict.fromkeys(features, 0.0) | dict(zip(moving, map(float, fitted.coefficients)))
+        standardization=True, regParam=alpha / moments.n * (moments.extra[0] or 0.0),
+    ).fit(vectors)
+    means = dict(zip(features, map(float, moments.means)))
+    scales = dict(zip(features, map(float, moments.scales)))
+    slopes = dict(zip(features, map(float, fitted.coefficients)))
     return RidgeModel(
-        features=tuple(features),
-        means=dict(zip(features, map(float, means))),
-        scales=dict(zip(features, map(float, scales))),
-        coefficients=weights,
-        intercept=float(fitted.intercept),
+        features=tuple(features), means=means, scales=scales,
+        coefficients={name: slopes[name] * scales[name] for name in features},
+        intercept=float(fitted.intercept) + sum(slopes[name] * means[name] for name in features),
     )
 
 
-def _varies(vectors: DataFrame, size: int) -> list[bool]:
-    found = vectors.select(
-        Summarizer.metrics("min", "max").summary(F.col("features")).alias("s")).select("s.*").first()
-    return [bool(found["max"][i] > found["min"][i]) for i in range(size)]
-
-
 def linear_attribution(
     df: DataFrame, slopes: Mapping[str, float], means: Mapping[str, float] | None = None
 ) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from tallycast import constants
-from tallycast.operators.windows import by_date, lag_columns, rolling_columns, with_ewm
+from tallycast.operators.rolling import rolling_names, with_rolling
+from tallycast.operators.windows import by_date, lag_columns, with_ewm
 
 
 def dynamic_names(
@@ -17,10 +18,11 @@ def dynamic_names(
     spans: Sequence[int] = constants.EWM_SPANS,
 ) -> list[str]:
     """Names in the order the features enter a model."""
-    names = [f"{target}_lag_{k}" for k in lags]
-    for n in windows:
-        names += [f"{target}_roll_mean_{n}", f"{target}_roll_std_{n}"]
-    return names + [f"{target}_ewm_{span}" for span in spans]
+    return [
+        *[f"{target}_lag_{k}" for k in lags],
+        *rolling_names(target, windows),
+        *[f"{target}_ewm_{span}" for span in spans],
+    ]
 
 
 def with_dynamic_features(
@@ -33,7 +35,5 @@ def with_dynamic_features(
     spans: Sequence[int] = constants.EWM_SPANS,
 ) -> DataFrame:
     """All past-value features with a single shuffle by series."""
-    rows = by_date(keys)
-    shifted = panel.withColumns(
-        lag_columns(target, rows, lags) | rolling_columns(target, rows, windows))
-    return with_ewm(shifted, target, keys, spans)
+    lagged = panel.withColumns(lag_columns(target, by_date(keys), lags))
+    return with_rolling(with_ewm(lagged, target, keys, spans), target, keys, windows)

@@ -100,32 +100,52 @@ def lunar_window_columns(offset: Column) -> dict[str, Column]:
     return columns
 
 
-def promo_window_columns(
-    date: Column, schedule: Sequence[tuple] = constants.PROMO_SCHEDULE
-) -> dict[str, Column]:
+def with_promo_windows(
+    df: DataFrame, schedule: Sequence[tuple] = constants.PROMO_SCHEDULE, date: str = "Date"
+) -> DataFrame:
     """Flag, days since start, days to end and discount of each recurring promotion.
 
-    The latest start that still covers the day decides; a start date that does
-    not exist in a year (29 February) is skipped.
+    The latest start that still covers the day decides.  The starts are columns
+    of their own first, so that the four features share one computation.
     """
-    columns = {}
-    for name, month, day, length, discount, recur in schedule:
-        starts = []
-        for years_back in range(length // 365 + 2):
-            year = F.year(date) - years_back
-            start = F.try_to_date(
-                F.format_string(f"%04d-{month:02d}-{day:02d}", year), "yyyy-MM-dd")
-            covers = (start <= date) & (date <= F.date_add(start, length))
-            if recur == "odd":
-                covers = covers & (year % 2 == 1)
-            starts.append(F.when(covers, start))
-        begun = F.coalesce(*starts)
-        since = F.datediff(date, begun)
-        columns[f"promo_{name}"] = flag(begun.isNotNull())
-        columns[f"promo_{name}_since"] = F.coalesce(since, F.lit(-1)).cast("double")
-        columns[f"promo_{name}_until"] = F.coalesce(length - since, F.lit(-1)).cast("double")
-        columns[f"promo_{name}_disc"] = F.when(begun.isNotNull(), F.lit(float(discount or 0))).otherwise(0.0)
-    return columns
+    day = F.col(date)
+    begun = {
+        name: _covering_start(day, month, start_day, length, recur).alias(f"__{name}")
+        for name, month, start_day, length, _, recur in schedule
+    }
+    started = df.select("*", *begun.values())
+    columns = []
+    for name, _, _, length, discount, _ in schedule:
+        start = F.col(f"__{name}")
+        since = F.datediff(day, start)
+        columns += [
+            flag(start.isNotNull()).alias(f"promo_{name}"),
+            F.coalesce(since, F.lit(-1)).cast("double").alias(f"promo_{name}_since"),
+            F.coalesce(length - since, F.lit(-1)).cast("double").alias(f"promo_{name}_until"),
+            F.when(start.isNotNull(), float(discount or 0)).otherwise(0.0).alias(f"promo_{name}_disc"),
+        ]
+    return started.select(*df.columns, *columns)
+
+
+def _covering_start(day: Column, month: int, start_day: int, length: int, recur: str) -> Column:
+    """Start of the window that covers the day, null outside of all windows."""
+    starts = []
+    for years_back in range(length // 365 + 2):
+        year = F.year(day) - years_back
+        start = _day_of_year(year, month, start_day)
+        covers = (start <= day) & (day <= F.date_add(start, length))
+        if recur == "odd":
+            covers = covers & (year % 2 == 1)
+        starts.append(F.when(covers, start))
+    return F.coalesce(*starts)
+
+
+def _day_of_year(year: Column, month: int, day: int) -> Column:
+    """A date in each year; null in years without that day (29 February)."""
+    if (month, day) == (2, 29):
+        last = F.last_day(F.make_date(year, F.lit(2), F.lit(1)))
+        return F.when(F.dayofmonth(last) == 29, last)
+    return F.make_date(year, F.lit(month), F.lit(day))
 
 
 def lunar_aligned_lag(
@@ -181,8 +201,7 @@ def build_features(
         | holiday_columns(date, holidays)
     )
     lunar = with_lunar(plain, lunar_events)
-    windows = lunar.withColumns(promo_window_columns(date, schedule))
-    return active_by_day(windows, promotions)
+    return active_by_day(with_promo_windows(lunar, schedule), promotions)
 
 
 def feature_names(df: DataFrame, *, exclude: Sequence[str] = ()) -> list[str]:

@@ -27,19 +27,6 @@ def lag_columns(value: str, rows: WindowSpec, lags: Sequence[int] = constants.LA
     return {f"{value}_lag_{k}": F.lag(value, k).over(rows) for k in lags}
 
 
-def rolling_columns(
-    value: str, rows: WindowSpec, windows: Sequence[int] = constants.ROLLING_WINDOWS
-) -> dict[str, Column]:
-    """Mean and sample deviation of the previous ``n`` rows; null with too few values."""
-    columns = {}
-    for n in windows:
-        frame = rows.rowsBetween(-n, -1)
-        enough = F.count(value).over(frame) >= max(2, n // 3)
-        columns[f"{value}_roll_mean_{n}"] = F.when(enough, F.avg(value).over(frame))
-        columns[f"{value}_roll_std_{n}"] = F.when(enough, F.stddev_samp(value).over(frame))
-    return columns
-
-
 def with_ewm(
     df: DataFrame,
     value: str,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallycast.operators.panel import densify, order_totals
 from tallycast.session import cut_lineage
+from tallycast.sources.dimensions import lunar_new_year
 
 KEYS = ["series"]
 
@@ -150,4 +151,4 @@ def order_days(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lunar_events(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(sorted(LUNAR_NEW_YEAR.items()), "year int, event_date date")
+    return lunar_new_year(spark, LUNAR_NEW_YEAR)

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from tallycast import constants
-from tallycast.operators import dynamic, features, windows
+from tallycast.operators import dynamic, features, rolling, windows
 from tallycast.operators.intervals import active_by_day
 from tallycast.registry import driver
 from tallycast.registry.common import DAYS_SQL, LUNAR_SQL, PANEL_SQL, TIE_SHIFT, rounded, rounded_off_ties
@@ -40,7 +40,7 @@ def feat_lunar(spark, sf):
 
 
 def feat_promo_windows(spark, sf):
-    return driver.order_days(spark, sf).withColumns(features.promo_window_columns(DATE))
+    return features.with_promo_windows(driver.order_days(spark, sf))
 
 
 def feat_promo_active(spark, sf):
@@ -85,9 +85,9 @@ def feat_lags(spark, sf):
 
 
 def feat_rolling(spark, sf):
-    columns = windows.rolling_columns("Revenue", windows.by_date(KEYS))
-    df = driver.panel(spark, sf).select("series", "Date", "Revenue").withColumns(columns)
-    return rounded_off_ties(df, 2, "Revenue", *columns)
+    df = driver.panel(spark, sf).select("series", "Date", "Revenue")
+    result = rolling.with_rolling(df, "Revenue", KEYS)
+    return rounded_off_ties(result, 2, "Revenue", *rolling.rolling_names("Revenue"))
 
 
 def feat_ewm(spark, sf):

@@ -34,9 +34,9 @@ def _calendar(df):
     date = F.col("Date")
     plain = df.withColumns(
         features.calendar_columns(date, origin=driver.TREND_ORIGIN, regime_year=driver.REGIME_YEAR)
-        | features.fourier_columns(date) | features.holiday_columns(date)
-        | features.promo_window_columns(date))
-    return features.with_lunar(plain, driver.lunar_events(df.sparkSession))
+        | features.fourier_columns(date) | features.holiday_columns(date))
+    lunar = features.with_lunar(plain, driver.lunar_events(df.sparkSession))
+    return cut_lineage(features.with_promo_windows(lunar))
 
 
 def _frames(spark, sf):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast import constants
+from tallycast.sources.dimensions import literal_table
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -16,7 +17,9 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     found = [(status.getPath().getName(),) for status in fs.listStatus(hadoop_path)] if fs.exists(
         hadoop_path) else []
-    return spark.createDataFrame(found, "file string")
+    if not found:
+        return spark.range(0).select(F.lit("").alias("file"))
+    return literal_table(spark, found, "file string")
 
 
 def missing_inputs(
@@ -26,7 +29,7 @@ def missing_inputs(
     suffix: str = ".csv",
 ) -> DataFrame:
     """Required files that are not in the folder."""
-    wanted = spark.createDataFrame([(name + suffix,) for name in tables], "file string")
+    wanted = literal_table(spark, [(name + suffix,) for name in tables], "file string")
     return wanted.join(list_files(spark, folder), "file", "left_anti")
 
 
