@@ -48,12 +48,11 @@ class RidgeModel:
 
 def as_vectors(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Columns to keep plus the features as one vector; missing values count as 0."""
-    numbers = [F.coalesce(F.col(name).cast("double"), F.lit(0.0)).alias(name) for name in features]
-    staged = df.select(*keep, F.struct(*numbers).alias("__f")).select(*keep, "__f.*")
     if set(keep) & set(features):
         raise ValueError(f"kept columns are features too: {sorted(set(keep) & set(features))}")
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(staged).select(
-        *keep, "features")
+    filled = df.select(*keep, *features).na.fill(0.0, list(features))
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+    return assembler.transform(filled).select(*keep, "features")
 
 
 def column_moments(vectors: DataFrame, *extra: Column) -> Row:

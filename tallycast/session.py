@@ -24,6 +24,8 @@ def build_session(app: str, *, master: str | None = None, **conf: str) -> SparkS
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
+        # Call sites of single column expressions cost more than the expressions.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
