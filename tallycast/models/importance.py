@@ -108,13 +108,17 @@ def dependence(
     One pass finds the ranges, a second one aggregates; nothing is sorted.
     """
     names = list(attributions)
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(name).alias("feature"), F.col(name).cast("double").alias("value"),
-                 attributions[name].alias("attribution")) for name in names])).alias("r")).select("r.*")
-    ranges = long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    placed = long.join(ranges, "feature").withColumn("cell", F.coalesce(F.least(
-        F.floor(ratio(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo")) * cells),
-        F.lit(cells - 1)), F.lit(0)).cast("int"))
-    return placed.groupBy("feature", "cell").agg(
+    spans = df.agg(F.struct(*[
+        F.struct(F.min(name).cast("double").alias("lo"), F.max(name).cast("double").alias("hi")).alias(name)
+        for name in names])).scalar()
+    entries = []
+    for name in names:
+        value, lo, hi = F.col(name).cast("double"), spans[name]["lo"], spans[name]["hi"]
+        cell = F.least(F.floor(ratio(value - lo, hi - lo) * cells), F.lit(cells - 1))
+        entries.append(F.struct(
+            F.lit(name).alias("feature"), F.coalesce(cell, F.lit(0)).cast("int").alias("cell"),
+            value.alias("value"), attributions[name].alias("attribution")))
+    long = df.select(F.inline(F.array(*entries)))
+    return long.where(F.col("value").isNotNull()).groupBy("feature", "cell").agg(
         F.avg("value").alias("value"), F.avg("attribution").alias("attribution"),
         F.count(F.lit(1)).alias("n"))

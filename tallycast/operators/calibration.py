@@ -8,7 +8,7 @@ One pass over the rows replaces one pass per grid point.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -97,6 +97,7 @@ def apply_multiplier(
         value, F.col(value) * F.coalesce("__factor", F.lit(default))).drop("__factor")
 
 
-def fixed_multiplier(target: Column, factors: dict[str, float]) -> Column:
-    """The published fixed multiplier of a target."""
-    return F.coalesce(*[F.when(target == name, F.lit(f)) for name, f in factors.items()], F.lit(1.0))
+def factor_of(target: Column, factors: Mapping[str, float]) -> Column:
+    """The given factor of a target, 1 for other targets."""
+    return F.coalesce(
+        *[F.when(target == name, F.lit(float(f))) for name, f in factors.items()], F.lit(1.0))

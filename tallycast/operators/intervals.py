@@ -27,11 +27,10 @@ def active_by_day(
     summed per (start, end) first, which leaves at most one row per pair of
     days however many intervals there are; only those are opened into days.
     """
-    first = days.agg(F.min("Date")).scalar()
-    last = days.agg(F.max("Date")).scalar()
+    asked = days.agg(F.struct(F.min("Date").alias("first"), F.max("Date").alias("last"))).scalar()
     clipped = intervals.where(F.col(start) <= F.col(end)).select(
-        F.greatest(F.col(start), first).alias("lo"),
-        F.least(F.col(end), last).alias("hi"),
+        F.greatest(F.col(start), asked["first"]).alias("lo"),
+        F.least(F.col(end), asked["last"]).alias("hi"),
         F.col(value).alias("value"),
         *[flag(F.col(category) == name).alias(out) for name, out in category_flags.items()],
     ).where(F.col("lo") <= F.col("hi"))

@@ -27,26 +27,38 @@ def daily_components(
     keys: Sequence[str] = (),
     cancelled: str = "cancelled",
     date: str = "order_date",
+    dimension: DataFrame | None = None,
+    on: str | None = None,
 ) -> DataFrame:
     """Orders, revenue and average order value per series and day.
 
     Orders with an unknown status count; days without any order line are left
-    out, as is a revenue that cannot be computed.
+    out.  Lines are summed per order before the join.  With a ``dimension``
+    (one row per ``on``) that holds the series keys, orders are summed per
+    ``on`` and day first, so a frequent value reaches that join as at most one
+    row per day.
     """
+    first_keys = [on] if dimension is not None else list(keys)
     completed = orders.where(differs(F.col("order_status"), cancelled)).where(
-        F.col(date).isNotNull()).select(*keys, "order_id", F.col(date).alias("Date"))
-    totals = order_totals(items, {"line_revenue": line_revenue_filled(
+        F.col(date).isNotNull()).select(*first_keys, "order_id", F.col(date).alias("Date"))
+    totals = order_totals(items, {"rev_recon": line_revenue_filled(
         F.col("quantity"), F.col("unit_price"), F.col("discount_amount"))})
-    # One pass: order counts and revenue share the join; orders without lines keep counting.
-    joined = completed.join(
-        totals.withColumn("has_lines", F.lit(1)), "order_id", "left")
-    daily = joined.groupBy(*keys, "Date").agg(
+    joined = completed.join(totals.withColumn("has_lines", F.lit(1)), "order_id", "left")
+    daily = joined.groupBy(*first_keys, "Date").agg(
         F.count_distinct("order_id").alias("n_orders"),
-        F.coalesce(F.sum("line_revenue"), F.lit(0.0)).alias("rev_recon"),
+        F.sum("rev_recon").alias("rev_recon"),
         F.max("has_lines").alias("has_lines"),
     )
-    return daily.where(F.col("has_lines") == 1).drop("has_lines").withColumn(
-        "aov", F.col("rev_recon") / at_least(F.col("n_orders"), 1))
+    if dimension is not None:
+        daily = daily.join(dimension.select(on, *keys), on).groupBy(*keys, "Date").agg(
+            F.sum("n_orders").alias("n_orders"),
+            F.sum("rev_recon").alias("rev_recon"),
+            F.max("has_lines").alias("has_lines"),
+        )
+    revenue = F.coalesce("rev_recon", F.lit(0.0))
+    return daily.where(F.col("has_lines") == 1).select(
+        *keys, "Date", "n_orders", revenue.alias("rev_recon"),
+        (revenue / at_least(F.col("n_orders"), 1)).alias("aov"))
 
 
 def densify(

@@ -24,9 +24,9 @@ def to_wide(df: DataFrame, *, key: str, column: str, values: Sequence[str], valu
     return wide.withColumn("total", sum((F.col(v) for v in values[1:]), F.col(values[0])))
 
 
-def stack_variants(variants: Mapping[str, DataFrame]) -> DataFrame:
-    """Union of named forecast tables with the name as a column."""
-    named = [df.withColumn("variant", F.lit(name)) for name, df in variants.items()]
+def stack(tables: Mapping[str, DataFrame], column: str = "variant") -> DataFrame:
+    """Union of named tables with the name as a column."""
+    named = [df.withColumn(column, F.lit(name)) for name, df in tables.items()]
     return reduce(DataFrame.unionByName, named)
 
 

@@ -9,6 +9,7 @@ from tallycast.functions.scalars import flag, ratio
 from tallycast.operators.aggregates import (
     descending, known, share_of_total, sums_by_dimension, value_counts,
 )
+from tallycast.operators.panel import order_totals
 
 
 def totals(sales: DataFrame) -> DataFrame:
@@ -69,11 +70,25 @@ def promo_usage(lines: DataFrame) -> DataFrame:
     return sums.withColumn("promo_share", ratio(F.col("promo_revenue"), both))
 
 
-def delivery(lines: DataFrame) -> DataFrame:
-    """Return rate and mean days from order to shipment (columns returned, ship_date, order_date)."""
-    return lines.agg(
-        F.avg(flag(F.col("returned")).cast("double")).alias("return_rate"),
-        F.avg(F.datediff("ship_date", "order_date")).alias("delivery_days"),
+def delivery(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Return rate and mean days from order to shipment.
+
+    ``lines`` has order_id, returned and ship_date.  Days are summed per order
+    before the join, so an order with very many lines joins as one row.
+    """
+    shipped = F.unix_date("ship_date")
+    per_order = order_totals(lines, {
+        "n": F.lit(1),
+        "back": flag(F.col("returned")),
+        "shipped": shipped,
+        "n_shipped": flag(F.col("ship_date").isNotNull()),
+    })
+    ordered = orders.select("order_id", F.unix_date("order_date").alias("ordered"))
+    days = F.col("shipped") - F.col("n_shipped") * F.col("ordered")
+    return per_order.join(ordered, "order_id").agg(
+        ratio(F.sum("back"), F.sum("n")).alias("return_rate"),
+        ratio(F.sum(days), F.sum(F.when(F.col("ordered").isNotNull(), F.col("n_shipped")))).alias(
+            "delivery_days"),
     )
 
 

@@ -14,6 +14,7 @@ from tallycast.models.recursive import recursive_forecast
 from tallycast.models.ridge import RidgeModel, fit_ridge
 from tallycast.operators import blend, metrics
 from tallycast.operators.dynamic import dynamic_names, with_dynamic_features
+from tallycast.operators.features import attach_days
 from tallycast.operators.weights import split_holdout
 from tallycast.session import cut_lineage
 
@@ -24,8 +25,8 @@ def training_frame(
     """Dense panel with past-value features of its own target and calendar features,
     without the first rows whose lags reach before the history."""
     moving = with_dynamic_features(panel.select(*keys, "Date", target), target, keys=keys)
-    return moving.where(F.col("Date") >= F.lit(warmup_end)).join(calendar, "Date").withColumn(
-        "label", to_log(F.col(target)))
+    warm = moving.where(F.col("Date") >= F.lit(warmup_end))
+    return attach_days(warm, calendar).withColumn("label", to_log(F.col(target)))
 
 
 def holdout_scores(

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tallycast import constants
 from tallycast.functions.scalars import ratio, round_half_even
-from tallycast.operators.windows import change_from_previous
 
 
 def yearly_totals(sales: DataFrame, *, keys: Sequence[str], targets: Sequence[str] = constants.TARGETS) -> DataFrame:
@@ -17,18 +16,26 @@ def yearly_totals(sales: DataFrame, *, keys: Sequence[str], targets: Sequence[st
         *[F.sum(name).alias(name) for name in targets])
 
 
-def growth(
-    sales: DataFrame, *, keys: Sequence[str], full_years: tuple[int, int],
+def growth_and_level(
+    sales: DataFrame, *, keys: Sequence[str], full_years: tuple[int, int], base_year: int,
     targets: Sequence[str] = constants.TARGETS,
 ) -> DataFrame:
-    """Geometric mean of the yearly growth factors over the full years."""
-    years = Window.partitionBy(*keys).orderBy("year")
-    totals = yearly_totals(sales, keys=keys, targets=targets).where(
-        F.col("year").between(*full_years))
-    factors = totals.select(*keys, *[
-        (change_from_previous(F.col(name), years) + 1).alias(name) for name in targets])
-    return factors.groupBy(*keys).agg(
-        *[F.exp(F.avg(F.log(name))).alias(f"growth_{name}") for name in targets])
+    """Yearly growth factor and daily level of each series.
+
+    The geometric mean of consecutive growth factors is the root of the last
+    total over the first.  The level is the base year's total over 365 days.
+    """
+    full = F.col("year").between(*full_years)
+    steps = F.count_if(full) - 1
+    columns = []
+    for name in targets:
+        known = F.when(full, F.col(name))
+        first = F.min_by(known, F.when(full, F.col("year")))
+        last = F.max_by(known, F.when(full, F.col("year")))
+        columns.append(F.pow(ratio(last, first), ratio(F.lit(1.0), steps)).alias(f"growth_{name}"))
+        base = F.sum(F.when(F.col("year") == base_year, F.col(name)))
+        columns.append((base / 365).alias(f"level_{name}"))
+    return yearly_totals(sales, keys=keys, targets=targets).groupBy(*keys).agg(*columns)
 
 
 def profile(sales: DataFrame, *, keys: Sequence[str], targets: Sequence[str] = constants.TARGETS) -> DataFrame:
@@ -41,12 +48,6 @@ def profile(sales: DataFrame, *, keys: Sequence[str], targets: Sequence[str] = c
     ).agg(*[F.avg(name).alias(f"norm_{name}") for name in targets])
 
 
-def level(sales: DataFrame, *, keys: Sequence[str], base_year: int, targets: Sequence[str] = constants.TARGETS) -> DataFrame:
-    """Daily mean of the base year, taken as a 365-day year."""
-    return sales.where(F.year("Date") == base_year).groupBy(*keys).agg(
-        *[(F.sum(name) / 365).alias(f"level_{name}") for name in targets])
-
-
 def seasonal_forecast(
     sales: DataFrame,
     days: DataFrame,
@@ -62,12 +63,12 @@ def seasonal_forecast(
     Days without a profile entry (29 February) use factor 1.
     """
     keys = list(keys)
-    rates = growth(sales, keys=keys, full_years=full_years, targets=targets)
-    base = level(sales, keys=keys, base_year=base_year, targets=targets)
+    base = growth_and_level(
+        sales, keys=keys, full_years=full_years, base_year=base_year, targets=targets)
     shape = profile(sales, keys=keys, targets=targets)
     asked = days.select(
         *keys, "Date", F.month("Date").alias("month"), F.dayofmonth("Date").alias("day"))
-    joined = asked.join(base.join(rates, keys), keys).join(
+    joined = asked.join(base, keys).join(
         shape, [*keys, "month", "day"], "left")
     ahead = F.year("Date") - base_year
     values = []

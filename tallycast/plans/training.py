@@ -28,7 +28,7 @@ class Training:
 
     holdout: DataFrame
     future: DataFrame
-    multipliers: dict[str, DataFrame]
+    multipliers: variants.Multipliers
     holdout_variants: DataFrame
     future_variants: DataFrame
     scores: DataFrame
@@ -124,8 +124,7 @@ def train(
     truth = variants.targets_long(history, keys=by_day, value="y", targets=list(weights))
     scored = cut_lineage(held_parts.join(truth, [*by_day, "target"]))
     ahead = cut_lineage(future_parts)
-    factors = {name: cut_lineage(table)
-               for name, table in variants.multipliers(scored, grid=grid).items()}
+    factors = variants.multipliers(scored, grid=grid)
     held_variants = variants.calibrated(scored, factors, fixed=fixed)
     scores = metrics.regression_metrics(held_variants, keys=["variant", "target"])
     return Training(

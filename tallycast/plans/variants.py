@@ -3,30 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallycast import constants
-from tallycast.operators.calibration import apply_multiplier, best_multiplier, fixed_multiplier
-from tallycast.operators.reshape import stack_variants
+from tallycast.operators.calibration import best_multiplier, factor_of
 
 
 def with_quarter(df: DataFrame) -> DataFrame:
     return df.withColumn("quarter", F.quarter("Date"))
 
 
-def multipliers(scored: DataFrame, *, grid=constants.CALIBRATION_GRID) -> dict[str, DataFrame]:
-    """Global and per-quarter multipliers of long scored rows (target, Date, y, yhat)."""
-    return {
-        "global": best_multiplier(scored, keys=["target"], grid=grid),
-        "per_q": best_multiplier(with_quarter(scored), keys=["target", "quarter"], grid=grid),
-    }
+@dataclass(frozen=True)
+class Multipliers:
+    """Fitted factors: one per target, and one per target and quarter."""
+
+    overall: dict[str, float]
+    quarterly: dict[tuple[str, int], float]
+
+
+def multipliers(scored: DataFrame, *, grid=constants.CALIBRATION_GRID) -> Multipliers:
+    """Fit the factors on long scored rows (target, Date, y, yhat).
+
+    At most five numbers per target come back to the driver; they enter later
+    plans as constants, so applying them needs no join.
+    """
+    overall = best_multiplier(scored, keys=["target"], grid=grid)
+    quarterly = best_multiplier(with_quarter(scored), keys=["target", "quarter"], grid=grid)
+    return Multipliers(
+        overall={row.target: row.multiplier for row in overall.collect()},
+        quarterly={(row.target, row.quarter): row.multiplier for row in quarterly.collect()},
+    )
 
 
 def calibrated(
     raw: DataFrame,
-    factors: Mapping[str, DataFrame],
+    factors: Multipliers,
     *,
     fixed: Mapping[str, float] = constants.FIXED_CALIBRATION,
 ) -> DataFrame:
@@ -34,14 +48,19 @@ def calibrated(
 
     A quarter that the hold-out does not contain keeps its raw forecast.
     """
-    columns = [*raw.columns, "variant"]
-    return stack_variants({
-        "global": apply_multiplier(raw, factors["global"], keys=["target"]),
-        "per_q": apply_multiplier(
-            with_quarter(raw), factors["per_q"], keys=["target", "quarter"]).drop("quarter"),
-        "default": raw.withColumn(
-            "yhat", F.col("yhat") * fixed_multiplier(F.col("target"), dict(fixed))),
-    }).select(*columns)
+    target, quarter = F.col("target"), F.quarter("Date")
+    by_quarter = [
+        F.when((target == name) & (quarter == q), F.lit(factor))
+        for (name, q), factor in factors.quarterly.items()
+    ]
+    choices = F.array(
+        F.struct(F.lit("global").alias("variant"), factor_of(target, factors.overall).alias("factor")),
+        F.struct(F.lit("per_q").alias("variant"), F.coalesce(*by_quarter, F.lit(1.0)).alias("factor")),
+        F.struct(F.lit("default").alias("variant"), factor_of(target, fixed).alias("factor")),
+    )
+    kept = [name for name in raw.columns if name != "yhat"]
+    return raw.select(*kept, "yhat", F.inline(choices)).select(
+        *kept, (F.col("yhat") * F.col("factor")).alias("yhat"), "variant")
 
 
 def targets_wide(

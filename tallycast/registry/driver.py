@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.operators.panel import densify, order_totals
+from tallycast.operators.panel import daily_components, densify, order_totals
 from tallycast.session import cut_lineage
 from tallycast.sources.dimensions import lunar_new_year
 
@@ -83,7 +83,7 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_mktsegment").alias("series"),
-        F.col("c_nationkey").alias("zip"),
+        F.col("c_nationkey").alias("nation"),
     )
 
 
@@ -93,14 +93,19 @@ def returns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def geography(spark: SparkSession, folder: str) -> DataFrame:
+    """Region of each customer; the customer number stands for the zip code."""
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").alias("zip"), F.col("r_name").alias("region"))
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        F.col("n_nationkey").alias("nation"), F.col("r_name").alias("region"))
+    return customers(spark, folder).join(places, "nation").select(
+        F.col("customer_id").alias("zip"), "region")
 
 
-def orders_of_customers(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders with their customer's segment and nation."""
-    return orders(spark, folder).join(customers(spark, folder), "customer_id")
+def components(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily orders, revenue and order value per customer segment."""
+    return daily_components(
+        orders(spark, folder), order_items(spark, folder), keys=KEYS, cancelled="P",
+        dimension=customers(spark, folder), on="customer_id")
 
 
 def promotions(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,6 +148,11 @@ def panel_once(spark: SparkSession, folder: str) -> DataFrame:
     return cut_lineage(panel(spark, folder))
 
 
+def sales_once(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily sales written once, for plans that read them several times."""
+    return cut_lineage(daily_sales(spark, folder))
+
+
 def order_days(spark: SparkSession, folder: str) -> DataFrame:
     """Every day of the order calendar with its number of orders."""
     counts = orders(spark, folder).groupBy(F.col("order_date").alias("Date")).agg(
@@ -150,5 +160,9 @@ def order_days(spark: SparkSession, folder: str) -> DataFrame:
     return densify(counts, keys=KEYS, fill={"n_orders": 0}).select("Date", "n_orders")
 
 
+def order_days_once(spark: SparkSession, folder: str) -> DataFrame:
+    return cut_lineage(order_days(spark, folder))
+
+
 def lunar_events(spark: SparkSession) -> DataFrame:
     return lunar_new_year(spark, LUNAR_NEW_YEAR)

@@ -45,12 +45,12 @@ def feat_promo_windows(spark, sf):
 
 def feat_promo_active(spark, sf):
     return rounded(active_by_day(
-        driver.order_days(spark, sf), driver.promotions(spark, sf),
+        driver.order_days_once(spark, sf), driver.promotions(spark, sf),
         category_flags=driver.PROMO_FLAGS), 4, "sum_discount_active")
 
 
 def feat_lunar_lag(spark, sf):
-    sales = driver.daily_sales(spark, sf)
+    sales = driver.sales_once(spark, sf)
     asked = sales.select("series", "Date")
     result = features.lunar_aligned_lag(
         asked, sales, keys=KEYS, lunar=driver.LUNAR_NEW_YEAR, last_known_year=2001)
@@ -60,7 +60,7 @@ def feat_lunar_lag(spark, sf):
 def feature_table(spark, sf):
     """The calendar feature table of the given orders, without the order count."""
     return features.build_features(
-        driver.order_days(spark, sf).select("Date"),
+        driver.order_days_once(spark, sf).select("Date"),
         promotions=driver.promotions(spark, sf).withColumn(
             "applicable_category", F.when(F.col("applicable_category") == "R", "Streetwear").when(
                 F.col("applicable_category") == "A", "Outdoor")),

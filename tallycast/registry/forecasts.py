@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from tallycast import constants
 from tallycast.operators import blend, metrics, weights
-from tallycast.operators.calibration import best_multiplier, calibration_errors
+from tallycast.operators.calibration import (
+    apply_multiplier, best_multiplier, calibration_errors,
+)
 from tallycast.operators.panel import cogs_ratio
+from tallycast.operators.reshape import stack
 from tallycast.plans import seasonal, variants
 from tallycast.registry import driver
 from tallycast.session import cut_lineage
@@ -42,8 +45,8 @@ def _scored(panel):
 
 
 def growth(spark, sf):
-    result = seasonal.growth(driver.panel(spark, sf), keys=KEYS, full_years=driver.FULL_YEARS)
-    return rounded(result, 9, "growth_Revenue", "growth_COGS")
+    result = seasonal.growth_and_level(driver.panel(spark, sf), **SETTINGS)
+    return rounded(result.select("series", "growth_Revenue", "growth_COGS"), 9, "growth_Revenue", "growth_COGS")
 
 
 def seasonal_profile(spark, sf):
@@ -105,6 +108,16 @@ def calib_quarter(spark, sf):
     return rounded(rounded(best, 6, "multiplier"), 3, "mae")
 
 
+def calib_applied(spark, sf):
+    """A factor per segment and target, joined to the future forecast."""
+    panel = driver.panel_once(spark, sf)
+    raw = seasonal.seasonal_forecast(panel, _future(panel), digits=None, **SETTINGS)
+    factors = best_multiplier(_scored(panel), keys=[*KEYS, "target"])
+    long = apply_multiplier(
+        variants.targets_long(raw, keys=BY_DAY), factors, keys=[*KEYS, "target"])
+    return rounded(long, 4, "yhat")
+
+
 def _variants_of_holdout(spark, sf):
     scored = _scored(driver.panel_once(spark, sf))
     return variants.calibrated(scored, variants.multipliers(scored))
@@ -152,10 +165,8 @@ def _members(spark, sf):
 def blend_weighted(spark, sf):
     """Booster weights over three members; the absent fourth's weight goes to the first."""
     members = _members(spark, sf)
-    long = None
-    for model, wide in members.items():
-        part = variants.targets_long(wide, keys=BY_DAY).withColumn("model", F.lit(model))
-        long = part if long is None else long.unionByName(part)
+    long = stack({name: variants.targets_long(wide, keys=BY_DAY) for name, wide in members.items()},
+                 "model")
     table = {target: blend.usable_weights(constants.BOOSTER_WEIGHTS[target], list(members))
              for target in constants.TARGETS}
     return rounded(blend.weighted_blend(long, table, keys=BY_DAY), 4, "yhat")
@@ -182,11 +193,9 @@ def blend_finished(spark, sf):
 
 def run_average(spark, sf):
     """Members averaged like runs with different seeds."""
-    long = None
-    for wide in _members(spark, sf).values():
-        part = variants.targets_long(wide, keys=BY_DAY)
-        long = part if long is None else long.unionByName(part)
-    return rounded(blend.mean_over_runs(long, keys=[*BY_DAY, "target"]), 4, "yhat")
+    runs = stack({name: variants.targets_long(wide, keys=BY_DAY)
+                  for name, wide in _members(spark, sf).items()}, "run")
+    return rounded(blend.mean_over_runs(runs, keys=[*BY_DAY, "target"]), 4, "yhat")
 
 
 def anchor_mean(spark, sf):
@@ -218,7 +227,8 @@ def _shifted(forecast):
 
 QUERIES = {fn.__name__: fn for fn in (
     growth, seasonal_profile, seasonal_forecast, backtest_mape, weights_stable, weights_decay,
-    weights_quarter, holdout_split, calib_errors, calib_global, calib_quarter, variant_metrics,
+    weights_quarter, holdout_split, calib_errors, calib_global, calib_quarter, calib_applied,
+    variant_metrics,
     best_variant, forecast_file, published_variant, blend_weighted, blend_layers, blend_finished,
     run_average, anchor_mean, ratio_cap, forecast_correlation,
 )}
@@ -325,6 +335,10 @@ SELECT target, round(m, 6) AS multiplier, round(mae, 3) AS mae FROM err""",
 SELECT target, round(m, 6) AS multiplier, round(mae, 3) AS mae FROM best""",
     "calib_quarter": f"""WITH {_SCORED}
 SELECT target, quarter, round(m, 6) AS multiplier, round(mae, 3) AS mae FROM best_q""",
+    "calib_applied": f"""{_PUBLISHED},
+err_s AS (SELECT series, target, m, avg(abs(y - m * yhat)) AS mae FROM scored, grid GROUP BY ALL),
+best_s AS (SELECT series, target, arg_min(m, mae) AS m FROM err_s GROUP BY ALL)
+SELECT series, "Date", target, round(yhat * b.m, 4) AS yhat FROM long JOIN best_s b USING (series, target)""",
     "variant_metrics": f"""{_METRICS}
 SELECT variant, target, round(mae, 3) AS mae, round(rmse, 3) AS rmse, round(r2, 8) AS r2 FROM scores""",
     "best_variant": f"""{_METRICS}, t AS (SELECT variant, sum(mae) AS s FROM scores GROUP BY 1)

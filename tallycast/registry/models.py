@@ -46,8 +46,10 @@ def _frames(spark, sf):
     ahead = _calendar(date_spine(spark, driver.FORECAST_FIRST, driver.FORECAST_LAST))
     names = features.feature_names(days)
     every = F.sequence(F.lit(driver.FORECAST_FIRST), F.lit(driver.FORECAST_LAST), F.expr("interval 1 day"))
-    future = panel.select(*KEYS).distinct().withColumn("Date", F.explode(every)).join(ahead, "Date")
-    return panel, cut_lineage(panel.join(days, "Date")), cut_lineage(future), names, days, ahead
+    future = panel.select(*KEYS).distinct().withColumn("Date", F.explode(every))
+    future = features.attach_days(future, ahead)
+    history = features.attach_days(panel, days)
+    return panel, cut_lineage(history), cut_lineage(future), names, days, ahead
 
 
 def _labelled(history, names, target="Revenue"):
@@ -91,9 +93,8 @@ def trained_variants(spark, sf):
 def component_forecast(spark, sf):
     """Orders times order value with two seeds."""
     panel, history, future, names, _, _ = _frames(spark, sf)
-    orders = driver.orders_of_customers(spark, sf)
-    parts = panels.daily_components(orders, driver.order_items(spark, sf), keys=KEYS, cancelled="P")
-    rows = cut_lineage(component_plan.with_components(history, parts, keys=KEYS))
+    rows = cut_lineage(component_plan.with_components(
+        history, driver.components(spark, sf), keys=KEYS))
     ratios = panels.cogs_ratio(panel.where(F.col("Revenue") > 0), keys=KEYS)
     return component_plan.component_forecast(
         rows, future, names, ratios, keys=KEYS, after=driver.HOLDOUT_AFTER,
@@ -205,7 +206,8 @@ def top_features(spark, sf):
 
 def dropped_features(spark, sf):
     """Features that a top-2 selection drops."""
-    combined = importance.combined_importance(_line_importance(spark, sf), list(SLOPES))
+    combined = cut_lineage(
+        importance.combined_importance(_line_importance(spark, sf), list(SLOPES)))
     kept = combined.orderBy(F.desc("total"), "feature").limit(2)
     return reshape.names_not_in(combined, kept, "feature")
 

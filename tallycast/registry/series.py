@@ -38,9 +38,7 @@ def date_spine(spark, sf):
 
 
 def daily_components(spark, sf):
-    orders = driver.orders_of_customers(spark, sf)
-    daily = panel.daily_components(
-        orders, driver.order_items(spark, sf), keys=KEYS, cancelled="P")
+    daily = driver.components(spark, sf)
     return rounded_off_ties(rounded(daily, 4, "rev_recon"), 2, "aov")
 
 
@@ -117,10 +115,7 @@ def log_transform(spark, sf):
 
 def fill_median(spark, sf):
     """Average order value with gaps between days filled by the segment's median."""
-    orders = driver.orders_of_customers(spark, sf)
-    daily = panel.daily_components(
-        orders, driver.order_items(spark, sf), keys=KEYS, cancelled="P")
-    dense = panel.densify(daily, keys=KEYS, fill={"n_orders": 0, "aov": None})
+    dense = panel.densify(driver.components(spark, sf), keys=KEYS, fill={"n_orders": 0, "aov": None})
     return rounded_off_ties(panel.fill_with_median(dense, "aov", keys=KEYS), 2, "aov")
 
 
@@ -134,14 +129,14 @@ def date_filter(spark, sf):
 
 def head_tail(spark, sf):
     """The first and last five days of the total series."""
-    total = driver.daily_sales(spark, sf).groupBy("Date").agg(F.sum("Revenue").alias("Revenue"))
+    total = driver.sales_once(spark, sf).groupBy("Date").agg(F.sum("Revenue").alias("Revenue"))
     ends = ranking.first_rows(total, 5, "Date").unionByName(ranking.last_rows(total, 5, "Date"))
     return rounded(ends, 4, "Revenue")
 
 
 def future_rows(spark, sf):
     """History plus one week of unknown days per segment."""
-    sales = driver.daily_sales(spark, sf).select("series", "Date", "Revenue")
+    sales = driver.sales_once(spark, sf).select("series", "Date", "Revenue")
     last = sales.groupBy("series").agg(F.max("Date").alias("last"))
     future = last.select("series", F.explode(F.sequence(
         F.date_add("last", 1), F.date_add("last", 7), F.expr("interval 1 day"))).alias("Date"))
