@@ -13,12 +13,11 @@ from tallycast.registry import driver
 from tallycast.registry.common import DAYS_SQL, LUNAR_SQL, PANEL_SQL, TIE_SHIFT, rounded, rounded_off_ties
 
 KEYS = driver.KEYS
-DATE = F.col("Date")
 
 
 def _calendar():
     return features.calendar_columns(
-        DATE, origin=driver.TREND_ORIGIN, regime_year=driver.REGIME_YEAR)
+        F.col("Date"), origin=driver.TREND_ORIGIN, regime_year=driver.REGIME_YEAR)
 
 
 def feat_calendar(spark, sf):
@@ -27,12 +26,12 @@ def feat_calendar(spark, sf):
 
 
 def feat_fourier(spark, sf):
-    columns = features.fourier_columns(DATE)
+    columns = features.fourier_columns(F.col("Date"))
     return rounded(driver.order_days(spark, sf).withColumns(columns), 10, *columns)
 
 
 def feat_holidays(spark, sf):
-    return driver.order_days(spark, sf).withColumns(features.holiday_columns(DATE))
+    return driver.order_days(spark, sf).withColumns(features.holiday_columns(F.col("Date")))
 
 
 def feat_lunar(spark, sf):
@@ -200,8 +199,8 @@ def _active_sql(flags: dict[str, str]) -> str:
 SELECT d.{_D}, d.n_orders, CAST(count(l_orderkey) AS INTEGER) AS n_active_promos,
        round(coalesce(sum(l_discount * 100), 0), 4) AS sum_discount_active, {flag_columns}
 FROM days d LEFT JOIN (SELECT * FROM lineitem WHERE l_discount > 0) l
-  ON d.{_D} >= CAST(l_shipdate AS DATE)
- AND d.{_D} <= CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER)
+  ON d.{_D} >= CAST(l_shipdate AS F.col("Date"))
+ AND d.{_D} <= CAST(l_shipdate AS F.col("Date")) + CAST(l_quantity AS INTEGER)
 GROUP BY d.{_D}, d.n_orders"""
 
 
