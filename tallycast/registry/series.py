@@ -102,7 +102,7 @@ def clip_cap_round(spark, sf):
         F.sum(at_most(F.col("cogs"), F.col("revenue") * 0.98)).alias("capped"),
         F.count_if(round_half_even(F.col("unit_price") / 1000, 0) % 2 == 0).alias("even"),
     ).select("ship_day", F.round("clipped", 4).alias("clipped"),
-             F.round("capped", 4).alias("capped"), "even")
+             F.round("capped", 6).alias("capped"), "even")
 
 
 def log_transform(spark, sf):
@@ -233,7 +233,7 @@ SELECT series, round(median("COGS" / greatest("Revenue", 1)), 9) AS cogs_ratio F
     "clip_cap_round": """
 SELECT strftime(l_shipdate, '%Y-%m-%d') AS ship_day,
        round(sum(greatest(l_extendedprice, 20000)), 4) AS clipped,
-       round(sum(least(l_extendedprice * 0.95::DOUBLE, l_extendedprice * (1 - l_discount) * 0.98::DOUBLE)), 4) AS capped,
+       round(sum(least(l_extendedprice * 0.95::DOUBLE, l_extendedprice * (1 - l_discount) * 0.98::DOUBLE)), 6) AS capped,
        count(*) FILTER (round_even(l_extendedprice / 1000, 0) % 2 = 0) AS even
 FROM lineitem GROUP BY 1""",
     "log_transform": f"""

@@ -134,10 +134,11 @@ def test_holdout_chooses_the_rounds_and_beats_the_mean(rows):
 
 
 def test_permuting_an_unused_feature_changes_nothing(rows):
-    model = SPEC.estimator("weight", 2).fit(rows)
+    one = rows.where("series = 'a'")
+    model = SPEC.estimator("weight", 3).fit(one)
     table = {r.feature: r.importance for r in importance.permutation_importance(
-        model, rows, CALENDAR, keys=["series", "Date"], buckets=3).collect()}
-    gains = {r.feature: r.importance for r in importance.tree_importance(model, rows, CALENDAR).collect()}
+        model, one, CALENDAR, keys=["series", "Date"], buckets=3).collect()}
+    gains = {r.feature: r.importance for r in importance.tree_importance(model, one, CALENDAR).collect()}
     assert set(table) == set(CALENDAR)
     assert all(table[name] == 0.0 for name in CALENDAR if gains[name] == 0.0)
     assert max(table.values()) > 0.0
@@ -157,7 +158,7 @@ def test_training_pipeline_end_to_end(history, future):
     tiny = [boosted.TreeSpec("squared", "squared", 0.4, 2, min_leaf=5, rounds=2)]
     run = training.train(
         history, future, CALENDAR, keys=["series"], after=AFTER, specs=tiny,
-        weights={"Revenue": {"squared": 1.0}}, stable_years=(2019, 2021))
+        weights={"Revenue": {"squared": 1.0}}, fixed={"Revenue": 3.0}, stable_years=(2019, 2021))
     assert run.holdout.count() == history.where(F.col("Date") > F.lit(AFTER)).count()
     assert run.future_variants.count() == 3 * future.count()
     scores = {r.variant: r.mae for r in run.scores.collect()}
