@@ -74,7 +74,7 @@ def recursive_forecast(
     # One number per forecast day: bounded by the horizon, not by the data.
     terms = days.select(
         "Date", (F.lit(model.origin) + model.term(calendar)).alias("term")).orderBy("Date").collect()
-    dates = [row.Date for row in terms]
+    dates = np.array([row.Date for row in terms], dtype="datetime64[ns]")
     base = np.array([row.term for row in terms])
     slopes = np.array([model.slopes.get(name, 0.0) for name in own])
     memory = max(*lags, *windows)
@@ -91,7 +91,7 @@ def recursive_forecast(
                     base, slopes, memory, lags, windows)
                 repeated = {key: np.repeat(chunk[key].to_numpy(), len(dates)) for key in keys}
                 yield pd.DataFrame(repeated | {
-                    "Date": dates * len(chunk), target: paths.ravel()})
+                    "Date": np.tile(dates, len(chunk)), target: paths.ravel()})
 
     schema = T.StructType([
         *[history.schema[key] for key in keys],

@@ -95,17 +95,24 @@ def fit_ridge(
 
 
 def linear_attribution(
-    df: DataFrame, slopes: Mapping[str, float], means: Mapping[str, float] | None = None
+    df: DataFrame, models: Mapping[str, Mapping[str, float]],
+    means: Mapping[str, float] | None = None,
 ) -> DataFrame:
-    """Mean absolute contribution of each feature of a linear model (feature, importance).
+    """Mean absolute contribution of each feature of linear models (model, feature, importance).
 
     The contribution of a feature is its slope times the distance from its
-    mean, which adds up to the prediction exactly.
+    mean, which adds up to the prediction exactly.  Its mean size is the slope
+    times the feature's mean absolute deviation, so one pass serves all models
+    (and one more finds the means if they are not given).
     """
-    names = list(slopes)
+    names = list(dict.fromkeys(name for slopes in models.values() for name in slopes))
     if means is None:
-        row = df.agg(*[F.avg(name).alias(name) for name in names]).first()
-        means = {name: float(row[name]) for name in names}
-    sizes = df.agg(*[
-        F.avg(F.abs((F.col(name) - means[name]) * slopes[name])).alias(name) for name in names])
-    return sizes.unpivot([], names, "feature", "importance")
+        centre = df.agg(F.struct(*[F.avg(name).alias(name) for name in names])).scalar()
+        distance = {name: F.abs(F.col(name) - centre[name]) for name in names}
+    else:
+        distance = {name: F.abs(F.col(name) - means[name]) for name in names}
+    deviations = df.agg(*[F.avg(value).alias(name) for name, value in distance.items()])
+    return deviations.select(F.inline(F.array(*[
+        F.struct(F.lit(model).alias("model"), F.lit(name).alias("feature"),
+                 (F.col(name) * abs(slope)).alias("importance"))
+        for model, slopes in models.items() for name, slope in slopes.items()])))

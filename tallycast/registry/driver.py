@@ -60,7 +60,7 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(1).alias("quantity"),
         gross.alias("unit_price"),
         (gross * discount).alias("discount_amount"),
-        F.when(discount > 0, F.format_string("D%.2f", discount)).alias("promo_id"),
+        F.when(discount > 0, (discount * 100).cast("int")).alias("promo_id"),
         (gross * (1 - discount)).alias("revenue"),
         (gross * 0.95).alias("cogs"),
         F.col("l_returnflag").alias("return_flag"),

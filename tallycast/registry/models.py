@@ -142,7 +142,7 @@ def ridge_importance(spark, sf):
     """Mean absolute attribution of every ridge feature."""
     _, history, _, names, _, _ = _frames(spark, sf)
     model = ridge.fit_ridge(history.withColumn("label", to_log(F.col("Revenue"))), names, "label")
-    return ridge.linear_attribution(history, model.slopes, model.means)
+    return ridge.linear_attribution(history, {"ridge": model.slopes}, model.means)
 
 
 def run_record(spark, sf):
@@ -170,12 +170,7 @@ LINE_FEATURES = list(SLOPES["model_a"])
 
 
 def _line_importance(spark, sf):
-    lines = driver.table(spark, sf, "lineitem")
-    parts = None
-    for model, slopes in SLOPES.items():
-        part = ridge.linear_attribution(lines, slopes).withColumn("model", F.lit(model))
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    return ridge.linear_attribution(driver.table(spark, sf, "lineitem"), SLOPES)
 
 
 def line_attribution(spark, sf):

@@ -67,7 +67,8 @@ def test_ridge_equals_the_closed_form(history):
     predicted = labelled.select("series", "Date", model.predict().alias("p")).toPandas()
     merged = pdf[["series", "Date"]].assign(want=z @ want + y.mean()).merge(predicted, on=["series", "Date"])
     np.testing.assert_allclose(merged.p, merged.want, atol=1e-8)
-    parts = ridge.linear_attribution(labelled.na.fill(0.0), model.slopes, model.means).toPandas().set_index("feature")
+    parts = ridge.linear_attribution(
+        labelled.na.fill(0.0), {"m": model.slopes}, model.means).toPandas().set_index("feature")
     np.testing.assert_allclose(parts.loc[names, "importance"], np.abs(z * want).mean(axis=0), atol=1e-7)
 
 
