@@ -18,7 +18,8 @@ def as_forecast_file(
     targets: Sequence[str] = constants.TARGETS,
 ) -> DataFrame:
     """The published layout: text date, targets not below zero, two decimals."""
-    money = [round_half_even(at_least(F.col(name), 0.0), 2).alias(name) for name in targets]
+    money = [round_half_even(at_least(F.col(name), 0.0), 2).alias(name)
+             for name in targets if name in forecast.columns]
     return forecast.select(*keys, date_text(F.col("Date")).alias("Date"), *money)
 
 
