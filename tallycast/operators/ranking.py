@@ -27,7 +27,7 @@ def fixed_sample(
     df: DataFrame, n: int, *, keys: Sequence[str], seed: int = constants.SEED
 ) -> DataFrame:
     """``n`` rows without replacement, the same rows for any partitioning."""
-    mixed = F.xxhash64(*keys, F.lit(seed))
+    mixed = F.md5(F.concat_ws("|", *[F.col(key).cast("string") for key in keys], F.lit(str(seed))))
     return df.orderBy(mixed, *keys).limit(n)
 
 

@@ -15,7 +15,7 @@ from tallycast.plans import components as component_plan
 from tallycast.plans import recursive as recursive_plan
 from tallycast.plans import training, variants
 from tallycast.registry import driver
-from tallycast.registry.common import rounded
+from tallycast.registry.common import PANEL_SQL, rounded
 from tallycast.session import cut_lineage
 from tallycast.sources.dimensions import date_spine, feature_meanings
 from tallycast.sources.sinks import run_metadata
@@ -66,6 +66,37 @@ def ridge_forecast(spark, sf):
     return future.select(*BY_DAY, F.round(from_log(model.predict()), 4).alias("Revenue"))
 
 
+def ridge_trend(spark, sf):
+    """Ridge of log revenue on trend and weekend, small enough to solve in SQL."""
+    days = driver.panel(spark, sf).select(
+        *BY_DAY, to_log(F.col("Revenue")).alias("label"),
+        F.datediff("Date", F.lit(driver.TREND_ORIGIN)).alias("t_days"),
+        (F.weekday("Date") > 4).cast("int").alias("is_weekend"))
+    rows = cut_lineage(days)
+    model = ridge.fit_ridge(rows, ["t_days", "is_weekend"], "label")
+    return rows.select(*BY_DAY, F.round(model.predict(), 6).alias("yhat"))
+
+
+# A given model of log revenue, small enough for a recursive query.
+GIVEN = ridge.RidgeModel(
+    features=("Revenue_lag_1", "Revenue_lag_2", "is_weekend"),
+    means=dict.fromkeys(("Revenue_lag_1", "Revenue_lag_2", "is_weekend"), 0.0),
+    scales=dict.fromkeys(("Revenue_lag_1", "Revenue_lag_2", "is_weekend"), 1.0),
+    coefficients={"Revenue_lag_1": 2e-7, "Revenue_lag_2": -1e-7, "is_weekend": 0.25},
+    intercept=12.5)
+
+
+def recursive_given(spark, sf):
+    """Recursion of a given model over 30 days of every segment."""
+    panel = panels.densify(
+        driver.panel(spark, sf), keys=KEYS, fill={"Revenue": 0.0, "COGS": 0.0},
+        until=driver.HISTORY_END).select(*BY_DAY, "Revenue")
+    days = date_spine(spark, driver.FORECAST_FIRST, driver.GIVEN_LAST).withColumn(
+        "is_weekend", (F.weekday("Date") > 4).cast("int"))
+    return rounded(recursive.recursive_forecast(
+        panel, days, GIVEN, "Revenue", keys=KEYS), 3, "Revenue")
+
+
 def boosted_forecast(spark, sf):
     """One booster whose size the hold-out decides, on future days."""
     _, history, future, names, _, _ = _frames(spark, sf)
@@ -217,7 +248,7 @@ def dependence_table(spark, sf):
 
 
 QUERIES = {fn.__name__: fn for fn in (
-    ridge_forecast, boosted_forecast, specialist_forecast, trained_variants, component_forecast,
+    ridge_forecast, ridge_trend, recursive_given, boosted_forecast, specialist_forecast, trained_variants, component_forecast,
     recursive_forecast, recursive_scores, search_trials, perm_importance, ridge_importance,
     run_record, line_attribution, importance_share, importance_wide, importance_top, top_features,
     dropped_features, dependence_table,
@@ -248,6 +279,27 @@ SELECT feature, CAST(least(floor((v - lo) / (hi - lo) * 20), 19) AS INTEGER) AS
 
 _IMP = _importance_sql()
 ORACLE = {
+    "ridge_trend": f"""WITH {PANEL_SQL},
+x AS (SELECT series, "Date", ln(1 + "Revenue") AS y, ("Date" - DATE '1998-01-01')::DOUBLE AS a,
+      CASE WHEN isodow("Date") >= 6 THEN 1.0::DOUBLE ELSE 0 END AS b FROM panel),
+m AS (SELECT count(*) AS n, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, stddev_pop(a) AS sa, stddev_pop(b) AS sb,
+      covar_pop(a, y) / stddev_pop(a) AS ca, covar_pop(b, y) / stddev_pop(b) AS cb,
+      covar_pop(a, b) / stddev_pop(a) / stddev_pop(b) AS r FROM x),
+w AS (SELECT *, ((n + 3) * n * ca - n * r * n * cb) / ((n + 3) ** 2 - (n * r) ** 2) AS wa,
+             ((n + 3) * n * cb - n * r * n * ca) / ((n + 3) ** 2 - (n * r) ** 2) AS wb FROM m)
+SELECT series, "Date", round(my + wa * (a - ma) / sa + wb * (b - mb) / sb, 6) AS yhat FROM x, w""",
+    "recursive_given": f"""WITH RECURSIVE {PANEL_SQL},
+walk AS (
+  SELECT s.series, DATE '2001-08-01' AS "Date",
+         coalesce((SELECT "Revenue" FROM daily d WHERE d.series = s.series AND d."Date" = DATE '2001-08-01'), 0) AS y,
+         coalesce((SELECT "Revenue" FROM daily d WHERE d.series = s.series AND d."Date" = DATE '2001-07-31'), 0) AS before
+  FROM (SELECT DISTINCT series FROM daily) s
+  UNION ALL
+  SELECT series, CAST("Date" + 1 AS DATE),
+         greatest(exp(12.5::DOUBLE + 2e-7::DOUBLE * y - 1e-7::DOUBLE * before
+           + CASE WHEN isodow("Date" + 1) >= 6 THEN 0.25::DOUBLE ELSE 0 END) - 1, 0), y
+  FROM walk WHERE "Date" < DATE '2001-08-31')
+SELECT series, "Date", round(y, 3) AS "Revenue" FROM walk WHERE "Date" > DATE '2001-08-01'""",
     "line_attribution": f"{_IMP} SELECT model, feature, round(importance, 4) AS importance FROM imp",
     "importance_share": f"{_IMP} SELECT model, feature, round(share, 8) AS share FROM share",
     "importance_wide": f"""{_IMP} SELECT feature, round(model_a, 8) AS model_a, round(model_b, 8) AS model_b,

@@ -145,7 +145,8 @@ def future_rows(spark, sf):
 
 def order_sample(spark, sf):
     """1,500 orders, the same for any partitioning."""
-    return ranking.fixed_sample(driver.orders(spark, sf), 1500, keys=["order_id"])
+    orders = driver.orders(spark, sf).select("order_id", "customer_id", "order_date")
+    return ranking.fixed_sample(orders, 1500, keys=["order_id"])
 
 
 QUERIES = {fn.__name__: fn for fn in (
@@ -255,6 +256,9 @@ FROM daily WHERE "Date" > DATE '2001-01-31' GROUP BY 1""",
     "head_tail": f"""
 WITH {DAILY_SQL}, t AS (SELECT "Date", round(sum("Revenue"), 4) AS "Revenue" FROM daily GROUP BY 1)
 (SELECT * FROM t ORDER BY "Date" LIMIT 5) UNION ALL (SELECT * FROM t ORDER BY "Date" DESC LIMIT 5)""",
+    "order_sample": """
+SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date FROM orders
+ORDER BY md5(o_orderkey::VARCHAR || '|42'), o_orderkey LIMIT 1500""",
     "future_rows": f"""
 WITH {DAILY_SQL}
 SELECT series, "Date", round("Revenue", 4) AS "Revenue" FROM daily
