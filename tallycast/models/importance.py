@@ -19,15 +19,17 @@ ROWS_PER_BUCKET = 1000
 
 def permutation_importance(
     model: Model, rows: DataFrame, features: Sequence[str], *, keys: Sequence[str],
-    buckets: int = 1, seed: int = constants.SEED,
+    buckets: int | None = None, seed: int = constants.SEED,
 ) -> DataFrame:
     """Rise of the MAE when one feature is shuffled (feature, importance, not below 0).
 
-    Rows get a random bucket and a random order in it; each takes the feature
+    Rows get a random bucket of about ROWS_PER_BUCKET rows and a random order in it; each takes the feature
     values of the next row of its bucket, the last those of the first.  Every
     value is used exactly once and no bucket grows with a key's frequency,
     because the random order depends on the whole row key.
     """
+    if buckets is None:
+        buckets = max(1, rows.count() // ROWS_PER_BUCKET)
     mixed = rows.select(
         "features", "label",
         F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(buckets)).alias("bucket"),

@@ -14,7 +14,9 @@ def append_future(history: DataFrame, future: DataFrame) -> DataFrame:
     return history.unionByName(future, allowMissingColumns=True)
 
 
-def to_long(df: DataFrame, *, keys: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:
+def to_long(
+    df: DataFrame, *, keys: Sequence[str], columns: Sequence[str], name: str, value: str
+) -> DataFrame:
     return df.unpivot(list(keys), list(columns), name, value)
 
 

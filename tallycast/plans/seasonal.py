@@ -11,7 +11,9 @@ from tallycast import constants
 from tallycast.functions.scalars import ratio, round_half_even
 
 
-def yearly_totals(sales: DataFrame, *, keys: Sequence[str], targets: Sequence[str] = constants.TARGETS) -> DataFrame:
+def yearly_totals(
+    sales: DataFrame, *, keys: Sequence[str], targets: Sequence[str] = constants.TARGETS
+) -> DataFrame:
     return sales.groupBy(*keys, F.year("Date").alias("year")).agg(
         *[F.sum(name).alias(name) for name in targets])
 
@@ -38,7 +40,9 @@ def growth_and_level(
     return yearly_totals(sales, keys=keys, targets=targets).groupBy(*keys).agg(*columns)
 
 
-def profile(sales: DataFrame, *, keys: Sequence[str], targets: Sequence[str] = constants.TARGETS) -> DataFrame:
+def profile(
+    sales: DataFrame, *, keys: Sequence[str], targets: Sequence[str] = constants.TARGETS
+) -> DataFrame:
     """Mean of the values, each relative to its year's mean, per month and day."""
     year = Window.partitionBy(*keys, F.year("Date"))
     scaled = sales.select(*keys, "Date", *[
