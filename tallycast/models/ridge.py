@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -68,21 +69,27 @@ def column_moments(vectors: DataFrame, *extra: Column) -> Row:
 
 
 def fit_ridge(
-    df: DataFrame, features: Sequence[str], label: str, *, alpha: float = constants.RIDGE_ALPHA
+    df: DataFrame, features: Sequence[str], label: str, *,
+    alpha: float = constants.RIDGE_ALPHA, weight: str | None = None,
 ) -> RidgeModel:
     """Least squares with penalty ``alpha`` on the weights of standardised features.
 
     Spark standardises inside its single pass over the rows.  It divides the
-    squared error by the number of rows and measures the penalty in units of
+    squared error by the total row weight and measures the penalty in units of
     the label's deviation, hence the conversion of ``alpha``.  Columns without
-    variation get weight 0.
+    variation get weight 0.  With row weights, Spark's means and deviations
+    are weighted too.
     """
-    named = df.withColumn("__label", F.col(label).cast("double"))
-    vectors = as_vectors(named, features, ["__label"])
-    moments = column_moments(vectors, F.stddev_pop("__label"))
+    row_weight = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    named = df.withColumns({"__label": F.col(label).cast("double"), "__weight": row_weight})
+    vectors = as_vectors(named, features, ["__label", "__weight"])
+    y, w = F.col("__label"), F.col("__weight")
+    moments = column_moments(vectors, F.sum(w), F.sum(w * y), F.sum(w * y * y))
+    total, first, second = moments.extra
+    deviation = math.sqrt(max(second / total - (first / total) ** 2, 0.0))
     fitted = LinearRegression(
-        featuresCol="features", labelCol="__label", solver="normal", elasticNetParam=0.0,
-        standardization=True, regParam=alpha / moments.n * (moments.extra[0] or 0.0),
+        featuresCol="features", labelCol="__label", weightCol="__weight", solver="normal",
+        elasticNetParam=0.0, standardization=True, regParam=alpha / total * deviation,
     ).fit(vectors)
     means = dict(zip(features, map(float, moments.means)))
     scales = dict(zip(features, map(float, moments.scales)))

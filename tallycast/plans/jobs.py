@@ -149,7 +149,7 @@ def train(
     names = data.features
     ranking = f"{out}/importance"
     if top_n and inputs.path_exists(spark, ranking):
-        best = sinks.read_importance(spark, ranking, _models(specs, weights))
+        best = sinks.read_importance(spark, ranking)
         kept = set(importance.keep_top(best, top_n))
         names = [name for name in names if name in kept]
     run = training.train(
@@ -174,10 +174,6 @@ def train(
     return run
 
 
-def _models(specs: Sequence[boosted.TreeSpec], targets: Mapping) -> list[str]:
-    return [f"{target}_{spec.name}" for target in targets for spec in specs]
-
-
 def _write_one(forecast: DataFrame, path: str) -> None:
     """A published table in date order."""
     forecast.orderBy("Date").write.mode("overwrite").option("header", True).csv(path)
@@ -210,7 +206,7 @@ def explain(
     combined = importance.combined_importance(long, list(tables))
     sinks.write_importance(combined, f"{out}/importance")
     return importance.ranked_with_meaning(
-        sinks.read_importance(spark, f"{out}/importance", list(tables)),
+        sinks.read_importance(spark, f"{out}/importance"),
         feature_meanings(spark), report_rows)
 
 

@@ -15,16 +15,17 @@ from tallycast.models.ridge import RidgeModel, fit_ridge
 from tallycast.operators import blend, metrics
 from tallycast.operators.dynamic import dynamic_names, with_dynamic_features
 from tallycast.operators.features import attach_days
-from tallycast.operators.weights import split_holdout
+from tallycast.operators.weights import decay_weight, split_holdout
 from tallycast.session import cut_lineage
 
 
 def training_frame(
     panel: DataFrame, calendar: DataFrame, target: str, *, keys: Sequence[str], warmup_end: dt.date
 ) -> DataFrame:
-    """Dense panel with past-value features of its own target and calendar features,
-    without the first rows whose lags reach before the history."""
-    moving = with_dynamic_features(panel.select(*keys, "Date", target), target, keys=keys)
+    """Dense panel with past-value features of its own target, calendar features and
+    weights that fade with age, without the first rows whose lags reach before the history."""
+    weighted = panel.select(*keys, "Date", target, decay_weight("Date", keys).alias("weight"))
+    moving = with_dynamic_features(weighted, target, keys=keys)
     warm = moving.where(F.col("Date") >= F.lit(warmup_end))
     return attach_days(warm, calendar).withColumn("label", to_log(F.col(target)))
 
@@ -34,7 +35,7 @@ def holdout_scores(
 ) -> DataFrame:
     """One-step scores of a model fitted on the rows before the hold-out only."""
     train, held = split_holdout(frame, after)
-    model = fit_ridge(train, features, "label")
+    model = fit_ridge(train, features, "label", weight="weight")
     scored = held.select(
         F.lit(target).alias("target"), F.col(target).alias("y"),
         at_least(from_log(model.predict()), 0.0).alias("yhat"))
@@ -58,7 +59,7 @@ def recursive_plan(
         features = [*calendar_features, *dynamic_names(target)]
         frame = cut_lineage(training_frame(
             panel, calendar, target, keys=keys, warmup_end=warmup_end))
-        models[target] = fit_ridge(frame, features, "label")
+        models[target] = fit_ridge(frame, features, "label", weight="weight")
         part = recursive_forecast(panel, future_calendar, models[target], target, keys=keys)
         result = part if result is None else result.join(part, by_day)
     anchored = blend.anchor_to_mean(cut_lineage(result), anchors, keys=keys)

@@ -62,10 +62,9 @@ def write_importance(importance: DataFrame, path: str) -> None:
     importance.write.mode("overwrite").option("header", True).csv(path)
 
 
-def read_importance(spark: SparkSession, path: str, models: Sequence[str] = ()) -> DataFrame:
-    """An importance table: long (model, importance) or wide with one column per model."""
-    columns = ["feature string"]
-    columns += [f"{name} double" for name in models] + ["total double"] if models else [
-        "model string", "importance double"]
-    return spark.read.schema(", ".join(columns)).option("header", True).option(
-        "enforceSchema", False).csv(path)
+def read_importance(spark: SparkSession, path: str) -> DataFrame:
+    """An importance table, long or with one column per model; shares become numbers."""
+    table = spark.read.option("header", True).csv(path)
+    return table.select(*[
+        F.col(name) if name in ("feature", "model") else F.col(name).cast("double").alias(name)
+        for name in table.columns])

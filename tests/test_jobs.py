@@ -13,7 +13,7 @@ D = dt.date
 PERIOD = jobs.Period(
     holdout_after=D(2021, 9, 30), forecast_first=D(2022, 1, 1), forecast_last=D(2022, 1, 20),
     warmup_end=D(2021, 2, 1), stable_years=(2020, 2021), full_years=(2020, 2021), base_year=2021)
-SPECS = [TreeSpec("squared", "squared", 0.4, 2, min_leaf=5, rounds=2)]
+SPECS = [TreeSpec("squared", "squared", 0.4, 2, min_leaf=5, rounds=1)]
 
 
 @pytest.fixture(scope="module")
@@ -89,21 +89,14 @@ def test_search_explanation_and_training_hand_over_files(spark, folder, out):
     report = jobs.explain(
         spark, folder, out, period=PERIOD, specs=SPECS, targets=["Revenue"], sample=300).collect()
     assert [r["rank"] for r in sorted(report, key=lambda r: r["rank"])] == list(range(1, 16))
-    run = jobs.train(
-        spark, folder, out, period=PERIOD, specs=SPECS, top_n=6,
-        weights={"Revenue": {"squared": 1.0}})
-    assert run.future.count() == 20
-
-
-def test_training_writes_all_tables(spark, folder, tmp_path):
-    out = str(tmp_path)
     both = {"Revenue": {"squared": 1.0}, "COGS": {"squared": 1.0}}
-    jobs.train(spark, folder, out, period=PERIOD, specs=SPECS, weights=both)
+    run = jobs.train(spark, folder, out, period=PERIOD, specs=SPECS, weights=both, top_n=6)
+    assert run.future.count() == 40
     rows = published(spark, f"{out}/published")
     assert len(rows) == 20 and rows[0].Date == "2022-01-01" and float(rows[0].COGS) > 0
-    assert len(spark.read.option("header", True).csv(f"{out}/forecasts").select("variant").distinct().collect()) == 3
+    assert spark.read.option("header", True).csv(f"{out}/forecasts").select("variant").distinct().count() == 3
     record = spark.read.json(f"{out}/metadata").first()
-    assert record.labels.published_variant == "default" and record.numbers.n_features == 88.0
+    assert record.labels.published_variant == "default" and record.numbers.n_features == 6.0
 
 
 def test_other_forecasts(spark, folder, tmp_path):

@@ -72,6 +72,22 @@ def test_ridge_equals_the_closed_form(history):
     np.testing.assert_allclose(parts.loc[names, "importance"], np.abs(z * want).mean(axis=0), atol=1e-7)
 
 
+def test_weighted_ridge_equals_the_closed_form(history):
+    labelled = history.withColumns({
+        "label": to_log(F.col("Revenue")), "w": F.when(F.col("dow") == 2, 3.0).otherwise(0.25)})
+    model = ridge.fit_ridge(labelled, CALENDAR, "label", weight="w")
+    pdf = labelled.toPandas()
+    x, y, w = pdf[CALENDAR].astype(float).to_numpy(), pdf["label"].to_numpy(), pdf["w"].to_numpy()
+    centre = np.average(x, axis=0, weights=w)
+    z = (x - centre) / np.sqrt(np.average((x - centre) ** 2, axis=0, weights=w))
+    level = np.average(y, weights=w)
+    want = level + z @ np.linalg.solve(
+        z.T @ (w[:, None] * z) + 3.0 * np.eye(len(CALENDAR)), z.T @ (w * (y - level)))
+    got = labelled.select("series", "Date", model.predict().alias("p")).toPandas()
+    merged = pdf[["series", "Date"]].assign(want=want).merge(got, on=["series", "Date"])
+    np.testing.assert_allclose(merged.p, merged.want, atol=1e-8)
+
+
 def brute_force_path(y, model, target, day_rows):
     """One series, one day at a time, past-value features from pandas on the whole series."""
     values = list(y)
