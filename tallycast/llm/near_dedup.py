@@ -12,13 +12,15 @@ the shingles themselves.
    samples per text (two texts agree in one with a probability of their
    similarity); each band of ``ROWS`` samples becomes a key.  Texts of the same
    words are copies and one of them, of the smallest id, stands for all.
-3. Candidates: in each group of texts with one key, a few leaders are chosen by
-   the hash of their id and every text is paired with each leader; in groups of
-   up to that many texts, that is all pairs.  Texts of a larger group that are
-   similar to none of its leaders go into further rounds with four times as
-   many leaders, until none is left.  So no text is left out, and a large group
-   of copies of one text takes few pairs for each.
-4. Every candidate pair is verified by its exact weighted similarity.
+3. Leaders: in each group of texts with one key, every text is paired with a few
+   leaders, the one that meets most texts in all its groups and some chosen by the
+   hash of their id; in groups of up to that many texts, these are all pairs.
+   Each pair is verified by its exact weighted similarity.
+4. The rest: texts of a larger group that the links so far do not join to the
+   group's largest class are compared with all texts of the group, in blocks of
+   ``BLOCK`` by ``BLOCK`` texts, and each keeps its most similar partner of a
+   block.  So all texts of one key that are similar end up in one class, while
+   a large group of near copies of one text takes few pairs for each.
 5. Classes are the connected components of the verified links.
 
 Null, empty and blank texts have no shingles and are classes of their own.
@@ -43,6 +45,7 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 3
 LEADERS = 4
+BLOCK = 256
 IDF_BUCKETS = 1 << 16
 # Random numbers of the sampling are drawn from tables of this many values.
 TABLE = 1 << 12
@@ -177,73 +180,113 @@ def verified(pairs: DataFrame, texts: DataFrame, weights: np.ndarray, least: flo
     return joined.mapInArrow(checked, "a long, b long, similarity double")
 
 
-def _round(members: DataFrame, width: int) -> DataFrame:
-    """``key``, ``doc_id``, ``n`` and ``leader`` for every text of a group and each of its leaders."""
+def _paired_with_leaders(members: DataFrame, width: int) -> DataFrame:
+    """Pairs of every text of a group (``key``, ``doc_id``, ``n`` texts) with its leaders."""
     turn = F.xxhash64("doc_id", F.lit(SEED))
-    groups = cut_lineage(members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min_by("doc_id", turn).alias("always")).where("n > 1"))
-    rows = members.join(groups, "key")
-    share = F.pmod(turn, F.lit(1 << 20)) * F.col("n")
-    leaders = rows.where((F.col("doc_id") == F.col("always")) | (share < (width << 20)) | (F.col("n") <= width))
-    return rows.select("key", "doc_id", "n").join(
-        leaders.select("key", F.col("doc_id").alias("leader")), "key")
+    low = F.pmod(turn, F.lit(1 << 20))
+    met = members.groupBy("doc_id").agg(F.sum("n").alias("met"))
+    rows = cut_lineage(members.join(met, "doc_id").withColumn("standing", F.col("met") * (1 << 20) + low))
+    groups = cut_lineage(rows.groupBy("key").agg(F.max_by("doc_id", "standing").alias("always")))
+    joined = rows.join(groups, "key")
+    chosen = (F.col("doc_id") == F.col("always")) | (low * F.col("n") < (width << 20)) | (F.col("n") <= width)
+    leaders = joined.where(chosen).select("key", F.col("doc_id").alias("leader"))
+    return rows.select("key", "doc_id").join(leaders, "key").where("doc_id <> leader").select(
+        F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct()
+
+
+def _left_over(members: DataFrame, links: DataFrame, width: int) -> DataFrame:
+    """Texts of groups that hold several classes: ``key``, ``doc_id``, ``n``, whether a
+    text is ``open`` (outside the largest class of its group) and how many are."""
+    large = members.where(F.col("n") > width)
+    found = components(links.select("a", "b")).withColumnRenamed("node", "doc_id")
+    placed = cut_lineage(large.join(found, "doc_id", "left").withColumn(
+        "component", F.coalesce("component", "doc_id")))
+    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
+    largest = cut_lineage(sizes.groupBy("key").agg(
+        F.max("size").alias("size"), F.sum("size").alias("all"),
+        F.max_by("component", F.col("size").cast("decimal(38,0)") * (1 << 62) - F.col("component")).alias("main")))
+    mixed_groups = largest.where("size < all").select("key", "main", (F.col("all") - F.col("size")).alias("n_open"))
+    return cut_lineage(placed.join(mixed_groups, "key").select(
+        "key", "doc_id", "n", "n_open", (F.col("component") != F.col("main")).alias("open")))
+
+
+def _compared_in_blocks(rows: DataFrame, texts: DataFrame, weights: np.ndarray, least: float) -> DataFrame:
+    """Links of open texts with their most similar partner in every block of their groups."""
+    def blocks(count: str):
+        return F.ceil(F.col(count) / BLOCK).cast("int")
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0), blocks(count) - 1))
+
+    own = lambda count: F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), blocks(count))
+    rows = rows.join(texts, "doc_id")
+    asked = rows.where("open").withColumn("row", own("n_open").cast("int")).withColumn("column", every("n"))
+    given = rows.withColumn("column", own("n").cast("int")).withColumn("row", every("n_open"))
+    fields = ["key", "row", "column", "doc_id", "text"]
+    cells = asked.select(*fields, F.lit(True).alias("asks")).unionByName(given.select(*fields, F.lit(False).alias("asks")))
+
+    def compared(cell: pa.Table) -> pa.Table:
+        cell = cell.combine_chunks()
+        values, counts, first = shingles_of(cell.column("text").combine_chunks())
+        ids, asks = cell.column("doc_id").to_numpy(), cell.column("asks").to_numpy()
+        distinct, place = np.unique(values, return_inverse=True)
+        doc = np.repeat(np.arange(len(ids)), np.diff(first))
+        weight = weights[bucket_of(values)]
+        total = np.bincount(doc, weights=counts * weight, minlength=len(ids))
+        held, out = np.zeros(len(distinct)), []
+        for n in np.flatnonzero(asks):
+            span = slice(first[n], first[n + 1])
+            held[place[span]] = counts[span]
+            both = np.bincount(doc, weights=np.minimum(held[place], counts) * weight, minlength=len(ids))
+            held[place[span]] = 0
+            alike = np.where(asks | (ids == ids[n]), 0.0, both / np.maximum(total + total[n] - both, 1e-300))
+            best = alike.max()
+            if best >= least:
+                partner = ids[alike == best].min()
+                out.append((min(ids[n], partner), max(ids[n], partner), best))
+        columns = list(zip(*out)) or [[], [], []]
+        kinds = (pa.int64(), pa.int64(), pa.float64())
+        return pa.table([pa.array(column, kind) for column, kind in zip(columns, kinds)], names=["a", "b", "similarity"])
+
+    return cells.groupBy("key", "row", "column").applyInArrow(compared, "a long, b long, similarity double")
 
 
 def near_links(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY,
 ) -> tuple[DataFrame, DataFrame]:
-    """The verified links ``a < b`` with ``similarity`` between texts that stand for
-    their copies, and ``doc_id`` with ``standing`` for every text with a word."""
+    """Verified links ``a < b`` with ``similarity`` that join the texts of each class,
+    between texts that stand for their copies, and ``doc_id`` with ``standing`` for
+    every text with a word."""
     weights = rarity(docs.sparkSession, docs, text)
     signed = cut_lineage(signatures(docs, weights, doc_id, text))
     standing = cut_lineage(signed.groupBy("one", "two").agg(F.min("doc_id").alias("standing")))
     # Joined as plain tables, so that a text with very many copies can be split.
     copies = cut_lineage(signed.join(standing, ["one", "two"]).select("doc_id", "standing", "bands"))
-    members = copies.where("doc_id = standing").dropDuplicates(["doc_id"]).select(
+    keys = copies.where("doc_id = standing").dropDuplicates(["doc_id"]).select(
         "doc_id", F.explode("bands").alias("key"))
-    shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    members = cut_lineage(members.join(shared, "key"))
-    wanted = members.select("doc_id").distinct()
+    shared = cut_lineage(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    members = cut_lineage(keys.join(shared, "key"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    texts = cut_lineage(rows.join(wanted, "doc_id").dropDuplicates(["doc_id"]))
-    links, width, done = None, LEADERS, None
-    while True:
-        pairs = cut_lineage(_round(members, width))
-        both = pairs.where("doc_id <> leader").select(
-            F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct()
-        if done is not None:
-            both = both.join(done, ["a", "b"], "left_anti")
-        both = cut_lineage(both)
-        found = cut_lineage(verified(both, texts, weights, least))
-        links = found if links is None else links.unionByName(found)
-        done = both if done is None else done.unionByName(both)
-        # Left over: texts of large groups that are no leader and similar to none.
-        ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        met = pairs.join(ends, (F.col("doc_id") == F.col("a")) & (F.col("leader") == F.col("b"))).select("key", "doc_id")
-        led = pairs.where("doc_id = leader").select("key", "doc_id")
-        open_rows = pairs.where(F.col("n") > width).select("key", "doc_id").distinct()
-        members = cut_lineage(open_rows.join(met.unionByName(led), ["key", "doc_id"], "left_anti"))
-        if members.isEmpty():
-            return links, copies.select("doc_id", "standing").distinct()
-        width *= 4
+    texts = cut_lineage(rows.join(members.select("doc_id").distinct(), "doc_id").dropDuplicates(["doc_id"]))
+    pairs = _paired_with_leaders(members, LEADERS)
+    links = cut_lineage(verified(pairs, texts, weights, least))
+    rest = _left_over(members, links, LEADERS)
+    if not rest.isEmpty():
+        links = links.unionByName(cut_lineage(_compared_in_blocks(rest, texts, weights, least)))
+    return links, copies.select("doc_id", "standing").distinct()
 
 
 def near_classes(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least: float = SIMILARITY,
 ) -> DataFrame:
     """One row per document id: ``doc_id``, ``standing`` (smallest id of the same words),
-    ``class_id`` (smallest id of the class), ``n_links`` (verified links of the
-    text to different texts) and ``kept`` (whether it is the class's own)."""
+    ``class_id`` (smallest id of the class) and ``kept`` (whether it is the class's own)."""
     links, copies = near_links(docs, doc_id=doc_id, text=text, least=least)
-    ends = links.select(F.col("a").alias("standing")).unionByName(links.select(F.col("b").alias("standing")))
-    degree = ends.groupBy("standing").agg(F.count("*").alias("n_links"))
     classes = components(links.select("a", "b")).select(F.col("node").alias("standing"), F.col("component"))
-    facts = cut_lineage(classes.join(degree, "standing"))
     ids = docs.select(F.col(doc_id).cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     rows = ids.join(copies, "doc_id", "left").withColumn("standing", F.coalesce("standing", "doc_id"))
-    return rows.join(facts, "standing", "left").select(
+    return rows.join(classes, "standing", "left").select(
         "doc_id", "standing", F.coalesce("component", "standing").alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     ).withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
