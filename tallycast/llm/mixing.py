@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycast.llm.native import count_words
+from tallycast.llm.storage import cut_shuffled
 from tallycast.llm.words import mixed
-from tallycast.session import cut_lineage
 
 # Weights of the sources in order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -126,8 +126,10 @@ def slots_of(sources: DataFrame, mix: Mix) -> DataFrame:
     counted = shares.where("slots > 0").mapInPandas(_spread(mix), "no int, shard int, first long, n long, blocks long")
     starts = F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(mix.run_slots)))
     runs = counted.where("n > 0").select("no", "shard", "first", "n", "blocks", starts.alias("from"))
-    # A source with most of the slots would else be opened by one task.
-    runs = runs.repartition("no", "shard", "from")
+    # Few small rows become very many slots: without a number of partitions they would
+    # be opened by one task.
+    partitions = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = runs.repartition(partitions, "no", "shard", "from")
     upto = F.least(F.col("n"), F.col("from") + mix.run_slots) - 1
     slots = runs.select("no", "shard", "blocks", F.explode(F.sequence("from", upto)).alias("at"), "first")
     slots = slots.select("no", "shard", "blocks", (F.col("first") + F.col("at")).alias("slot"))
@@ -148,7 +150,7 @@ def mixed_documents(
     if once:
         rows = rows.distinct()
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
-    sources = cut_lineage(with_targets(sums, mix))
+    sources = cut_shuffled(with_targets(sums, mix))
     placed = rows.join(
         sources.withColumnRenamed("source", "_source").drop("weight"),
         F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
@@ -159,12 +161,12 @@ def mixed_documents(
     placed = placed.withColumns({
         "turn": F.row_number().over(inside),
         "start": F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")})
-    placed = cut_lineage(placed.drop("docs"))
+    placed = cut_shuffled(placed.drop("docs"))
     buckets = placed.groupBy("no", "bucket").agg(
         F.ceil(F.sum("size") / mix.block_words).cast("long").alias("own"))
     before = Window.partitionBy("no").orderBy("bucket")
     buckets = buckets.select("no", "bucket", (F.sum("own").over(before) - F.col("own")).alias("base"), "own")
-    buckets = cut_lineage(buckets)
+    buckets = cut_shuffled(buckets)
     blocks = buckets.groupBy("no").agg(F.sum("own").alias("blocks"))
     slots = slots_of(sources.join(blocks, "no"), mix)
     draws = slots.groupBy("no", "number").agg(F.count("*").alias("draws"))
@@ -176,7 +178,8 @@ def mixed_documents(
     closes = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * mix.block_words)
     pieces = pieces.withColumns({
         "number": F.col("base") + F.col("block"), "from": opens - F.col("start"), "words": closes - opens})
-    drawn = pieces.join(draws, ["no", "number"], "left")
+    # The draws grow with the mix, which no estimate before the slots are opened shows.
+    drawn = pieces.join(draws.hint("merge"), ["no", "number"], "left")
     part = F.when(F.col("draws").isNotNull(), F.struct("from", "words", "draws"))
     names = ["doc_id", "text_hash", "source", "size", "source_size", "target"]
     return drawn.groupBy("no", "bucket", "turn", *names).agg(
