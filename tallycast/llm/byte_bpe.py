@@ -28,9 +28,9 @@ from pyspark.sql import types as T
 
 from tallycast.llm.words import row_slices
 
-CACHE_ENTRIES = 200_000
-SLICE_BYTES = 1 << 22
-DECODE_BLOCK = 1 << 20
+CACHE_ENTRIES = 50_000
+SLICE_BYTES = 1 << 20
+DECODE_BLOCK = 1 << 18
 UNKNOWN = "⁇"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycast.session import cut_lineage
+from tallycast.llm.storage import cut_shuffled
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -21,8 +21,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     one = links.where("a is not null and b is not null and a <> b").select(
         F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
-    both = cut_lineage(one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(
+    both = cut_shuffled(one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = cut_shuffled(both.groupBy(F.col("a").alias("node")).agg(
         F.least(F.min("b"), F.first("a")).alias("label")))
     total = F.sum(F.col("label").cast("decimal(38,0)"))
     before = labels.agg(total).first()[0]
@@ -32,7 +32,7 @@ def components(links: DataFrame) -> DataFrame:
         ends = both.join(of("b", "theirs"), "b").join(of("a", "mine"), "a")
         heard = ends.select(F.col("a").alias("node"), F.col("theirs").alias("label"))
         passed = ends.select(F.col("mine").alias("node"), F.col("theirs").alias("label"))
-        labels = cut_lineage(labels.unionByName(jumped).unionByName(heard).unionByName(passed)
+        labels = cut_shuffled(labels.unionByName(jumped).unionByName(heard).unionByName(passed)
                              .groupBy("node").agg(F.min("label").alias("label")))
         after = labels.agg(total).first()[0]
         if after == before:

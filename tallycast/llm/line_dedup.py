@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycast.llm.native import WORD
-from tallycast.session import cut_lineage
+from tallycast.llm.storage import cut_shuffled
 
 LINES = 3
 # Places are document id times this plus the line, as a decimal that holds any id.
@@ -58,7 +58,7 @@ def covered_lines(
     windows = _windows(docs, doc_id, text, width).withColumn("place", _place("doc_id", "line"))
     first = windows.groupBy("one", "two").agg(
         F.min("place").alias("first_place"), F.max("place").alias("last_place"))
-    repeated = cut_lineage(first.where("first_place < last_place").drop("last_place"))
+    repeated = cut_shuffled(first.where("first_place < last_place").drop("last_place"))
     later = windows.join(repeated, ["one", "two"]).where("place > first_place")
     # Sorted starts become intervals wherever the next window begins past the end.
     starts = later.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("at"))

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast.llm.components import components
+from tallycast.llm.storage import cut_shuffled
 from tallycast.llm.words import mixed, row_slices, runs_of, words_of
 from tallycast.session import cut_lineage
 
@@ -185,8 +186,8 @@ def _paired_with_leaders(members: DataFrame, width: int) -> DataFrame:
     turn = F.xxhash64("doc_id", F.lit(SEED))
     low = F.pmod(turn, F.lit(1 << 20))
     met = members.groupBy("doc_id").agg(F.sum("n").alias("met"))
-    rows = cut_lineage(members.join(met, "doc_id").withColumn("standing", F.col("met") * (1 << 20) + low))
-    groups = cut_lineage(rows.groupBy("key").agg(F.max_by("doc_id", "standing").alias("always")))
+    rows = cut_shuffled(members.join(met, "doc_id").withColumn("standing", F.col("met") * (1 << 20) + low))
+    groups = cut_shuffled(rows.groupBy("key").agg(F.max_by("doc_id", "standing").alias("always")))
     joined = rows.join(groups, "key")
     chosen = (F.col("doc_id") == F.col("always")) | (low * F.col("n") < (width << 20)) | (F.col("n") <= width)
     leaders = joined.where(chosen).select("key", F.col("doc_id").alias("leader"))
@@ -199,14 +200,14 @@ def _left_over(members: DataFrame, links: DataFrame, width: int) -> DataFrame:
     text is ``open`` (outside the largest class of its group) and how many are."""
     large = members.where(F.col("n") > width)
     found = components(links.select("a", "b")).withColumnRenamed("node", "doc_id")
-    placed = cut_lineage(large.join(found, "doc_id", "left").withColumn(
+    placed = cut_shuffled(large.join(found, "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id")))
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
-    largest = cut_lineage(sizes.groupBy("key").agg(
+    largest = cut_shuffled(sizes.groupBy("key").agg(
         F.max("size").alias("size"), F.sum("size").alias("all"),
         F.max_by("component", F.col("size").cast("decimal(38,0)") * (1 << 62) - F.col("component")).alias("main")))
     mixed_groups = largest.where("size < all").select("key", "main", (F.col("all") - F.col("size")).alias("n_open"))
-    return cut_lineage(placed.join(mixed_groups, "key").select(
+    return cut_shuffled(placed.join(mixed_groups, "key").select(
         "key", "doc_id", "n", "n_open", (F.col("component") != F.col("main")).alias("open")))
 
 
@@ -259,20 +260,20 @@ def near_links(
     every text with a word."""
     weights = rarity(docs.sparkSession, docs, text)
     signed = cut_lineage(signatures(docs, weights, doc_id, text))
-    standing = cut_lineage(signed.groupBy("one", "two").agg(F.min("doc_id").alias("standing")))
+    standing = cut_shuffled(signed.groupBy("one", "two").agg(F.min("doc_id").alias("standing")))
     # Joined as plain tables, so that a text with very many copies can be split.
-    copies = cut_lineage(signed.join(standing, ["one", "two"]).select("doc_id", "standing", "bands"))
+    copies = cut_shuffled(signed.join(standing, ["one", "two"]).select("doc_id", "standing", "bands"))
     keys = copies.where("doc_id = standing").dropDuplicates(["doc_id"]).select(
         "doc_id", F.explode("bands").alias("key"))
-    shared = cut_lineage(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    members = cut_lineage(keys.join(shared, "key"))
+    shared = cut_shuffled(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    members = cut_shuffled(keys.join(shared, "key"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     texts = cut_lineage(rows.join(members.select("doc_id").distinct(), "doc_id").dropDuplicates(["doc_id"]))
     pairs = _paired_with_leaders(members, LEADERS)
-    links = cut_lineage(verified(pairs, texts, weights, least))
+    links = cut_shuffled(verified(pairs, texts, weights, least))
     rest = _left_over(members, links, LEADERS)
     if not rest.isEmpty():
-        links = links.unionByName(cut_lineage(_compared_in_blocks(rest, texts, weights, least)))
+        links = links.unionByName(cut_shuffled(_compared_in_blocks(rest, texts, weights, least)))
     return links, copies.select("doc_id", "standing").distinct()
 
 

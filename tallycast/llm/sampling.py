@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallycast.session import cut_lineage
+from tallycast.llm.storage import cut_shuffled
 
 
 def sample_per_label(rows: DataFrame, per_label: int, seed: int) -> DataFrame:
@@ -17,7 +17,7 @@ def sample_per_label(rows: DataFrame, per_label: int, seed: int) -> DataFrame:
     """
     known = rows.where("doc_id is not null and label is not null").distinct()
     turn = F.xxhash64("doc_id", F.lit(seed))
-    counts = cut_lineage(known.groupBy("label").agg(F.count("*").alias("n")))
+    counts = cut_shuffled(known.groupBy("label").agg(F.count("*").alias("n")))
     thinned = known.join(counts, "label").withColumn("turn", turn).where(
         F.pmod("turn", F.lit(1 << 40)).cast("double") / float(1 << 40) * F.col("n") < 2 * per_label + 50)
     order = Window.partitionBy("label").orderBy("turn", "doc_id")

@@ -7,11 +7,15 @@ from pyspark.sql import DataFrame
 from tallycast.session import cut_lineage
 
 TASKS_PER_CORE = 2
+SHUFFLE_SHARE = 4
 
 
 def cut_shuffled(df: DataFrame) -> DataFrame:
-    """``df``, the result of a shuffle, written to the checkpoint folder as a few
-    files per core: every file of a checkpoint costs its executor a call to the
-    file system (on local disks a process), and later joins deal the rows anew."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return cut_lineage(df.coalesce(TASKS_PER_CORE * cores))
+    """``df``, the result of a shuffle of narrow rows, written to the checkpoint folder
+    as few files: every file of a checkpoint costs its executor a call to the file
+    system (on local disks a process), and later joins deal the rows anew.  There
+    are at least two per core and a quarter of the session's shuffle partitions,
+    which grow with the data."""
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions")) // SHUFFLE_SHARE
+    return cut_lineage(df.coalesce(max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, partitions)))

@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallycast.llm.components import components
+from tallycast.llm.storage import cut_shuffled
 from tallycast.llm.words import mixed
-from tallycast.session import cut_lineage
 
 COSINE = 0.98
 TABLES, PARTS = 8, 2
@@ -148,12 +148,12 @@ def vector_classes(
     vectors = table.select(
         F.col(vec_id).cast("long").alias("vec_id"), F.col(label).alias("label"), F.col(embedding).alias("embedding"))
     usable = vectors.where("vec_id is not null and label is not null and embedding is not null")
-    rows = cut_lineage(hashed(usable).dropDuplicates(["vec_id"]))
+    rows = cut_shuffled(hashed(usable).dropDuplicates(["vec_id"]))
     same = ["label", "width", "one", "two"]
-    classes = cut_lineage(rows.groupBy(*same).agg(F.min("vec_id").alias("standing"), F.count("*").alias("copies")))
-    members = cut_lineage(rows.select("vec_id", *same).join(classes, same).select("vec_id", "standing", "copies"))
+    classes = cut_shuffled(rows.groupBy(*same).agg(F.min("vec_id").alias("standing"), F.count("*").alias("copies")))
+    members = cut_shuffled(rows.select("vec_id", *same).join(classes, same).select("vec_id", "standing", "copies"))
     own = rows.join(members.where("vec_id = standing").select("vec_id"), "vec_id")
-    own = cut_lineage(own.select("vec_id", "label", "width", "stored", "looked"))
+    own = cut_shuffled(own.select("vec_id", "label", "width", "stored", "looked"))
     place = ["label", "width", "key"]
     stored = own.select(F.col("vec_id").alias("a"), "label", "width", F.explode("stored").alias("key"))
     looked = own.select(F.col("vec_id").alias("b"), "label", "width", F.explode("looked").alias("key"))
@@ -161,12 +161,12 @@ def vector_classes(
     pairs = stored.join(looked, place).where("a <> b").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     standing = usable.join(own.select("vec_id"), "vec_id", "left_semi").dropDuplicates(["vec_id"])
-    links = cut_lineage(verified(pairs, standing.select("vec_id", "embedding"), least))
+    links = cut_shuffled(verified(pairs, standing.select("vec_id", "embedding"), least))
     weight = members.select("standing", "copies").distinct()
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = both.join(weight, F.col("b") == F.col("standing")).groupBy("a").agg(F.sum("copies").alias("others"))
     found = components(links.select("a", "b")).select(F.col("node").alias("standing"), F.col("component"))
-    facts = cut_lineage(found.join(degree.withColumnRenamed("a", "standing"), "standing"))
+    facts = cut_shuffled(found.join(degree.withColumnRenamed("a", "standing"), "standing"))
     linked = members.join(facts, "standing", "left").select(
         "vec_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
         F.coalesce("component", "standing").alias("component_id"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes hashed at a time: bounds the memory that a very long text takes.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
