@@ -128,7 +128,9 @@ class Encoder:
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, *, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the ids of each whole text as a column of little-endian 32-bit numbers."""
+    """``docs`` with the ids of each whole text as a column of little-endian 32-bit
+    numbers, which replaces one of that name."""
+    docs = docs.drop(ids)
     tokens = read_ranks(ranks_path)
     model = serialised_model(tokens)
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.BinaryType())])
@@ -167,7 +169,9 @@ class Decoder:
 
 
 def decode(rows: DataFrame, ranks_path: str, *, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """``rows`` with the bytes that the ids stand for; null ids give no bytes."""
+    """``rows`` with the bytes that the ids stand for, in place of a column of that
+    name; null ids give no bytes."""
+    rows = rows.drop(decoded)
     tokens = read_ranks(ranks_path)
     schema = T.StructType([*rows.schema.fields, T.StructField(decoded, T.BinaryType())])
 

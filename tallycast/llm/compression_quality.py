@@ -142,8 +142,9 @@ def fit(learned: DataFrame, labels: DataFrame, *, per_label: int = PER_LABEL) ->
 
 
 def measured(rows: DataFrame, model: QualityModel) -> DataFrame:
-    """``rows`` without ``text``, with ``difference`` and ``share``."""
-    others = [name for name in rows.columns if name != "text"]
+    """``rows`` without ``text``, with ``difference`` and ``share`` (in place of columns
+    of these names)."""
+    others = [name for name in rows.columns if name not in {"text", "difference", "share"}]
     fields = [f"`{name}` {rows.schema[name].dataType.simpleString()}" for name in others]
 
     def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

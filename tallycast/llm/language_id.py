@@ -129,8 +129,9 @@ def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def classify(rows: DataFrame, model: LanguageModel, *, text: str = "text") -> DataFrame:
-    """``rows`` without the text, with ``lang_pred`` and ``score``."""
-    others = [name for name in rows.columns if name != text]
+    """``rows`` without the text, with ``lang_pred`` and ``score`` (in place of columns
+    of these names)."""
+    others = [name for name in rows.columns if name not in {text, "lang_pred", "score"}]
     prepared = rows.select(*[F.col(f"`{name}`") for name in others], letters(F.col(text)).alias("text"))
     fields = [f"`{name}` {rows.schema[name].dataType.simpleString()}" for name in others]
     labels, weights = np.array([*model.labels, UNKNOWN], dtype=object), model.weights

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycast.llm.native import WORD
-from tallycast.llm.storage import cut_shuffled
+from tallycast.llm.storage import cut_shuffled, packed, unpacked
 
 LINES = 3
 # Places are document id times this plus the line, as a decimal that holds any id.
@@ -76,20 +76,23 @@ def dedup_lines(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = LINES,
 ) -> DataFrame:
     """``docs`` with the covered lines taken out of the text.  Three columns are
-    added: ``_n_lines``, ``_n_removed`` and ``_cuts``."""
-    cuts = covered_lines(docs, doc_id=doc_id, text=text, width=width).select(
-        F.col("doc_id").alias("_cut_id"), F.col("cuts").alias("_cuts"))
-    joined = docs.join(cuts, F.col(doc_id) == F.col("_cut_id"), "left").drop("_cut_id")
+    added, and replace any of these names: ``n_lines``, ``n_removed`` and ``cuts``."""
+    found = covered_lines(docs, doc_id=doc_id, text=text, width=width).select(
+        F.col("doc_id").alias("cut_id"), "cuts")
+    joined = packed(docs, doc_id, text).join(found, F.col(doc_id) == F.col("cut_id"), "left")
     # Lines are split and joined again only where something goes.
-    joined = joined.withColumn("_lines", F.when(F.col("_cuts").isNotNull(), F.split(text, "\n")))
-    starts = F.concat(F.array(F.lit(0)), F.transform("_cuts", lambda cut: cut["past"]))
-    ends = F.concat(F.transform("_cuts", lambda cut: cut["first"]), F.array(F.size("_lines")))
+    joined = joined.withColumn("lines", F.when(F.col("cuts").isNotNull(), F.split(text, "\n")))
+    starts = F.concat(F.array(F.lit(0)), F.transform("cuts", lambda cut: cut["past"]))
+    ends = F.concat(F.transform("cuts", lambda cut: cut["first"]), F.array(F.size("lines")))
     between = F.arrays_zip(starts.alias("first"), ends.alias("past"))
     stay = F.flatten(F.transform(
-        between, lambda part: F.slice("_lines", part["first"] + 1, part["past"] - part["first"])))
-    removed = F.aggregate("_cuts", F.lit(0), lambda total, cut: total + cut["past"] - cut["first"])
+        between, lambda part: F.slice("lines", part["first"] + 1, part["past"] - part["first"])))
+    removed = F.aggregate("cuts", F.lit(0), lambda total, cut: total + cut["past"] - cut["first"])
     breaks = F.regexp_count(text, F.lit("\n"))
-    return joined.withColumns({
-        text: F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(F.array_join(stay, "\n")),
-        "_n_lines": F.when(F.length(text) > 0, breaks + 1).otherwise(0).cast("long"),
-        "_n_removed": F.coalesce(removed, F.lit(0)).cast("long")}).drop("_lines")
+    added = {
+        "n_lines": F.when(F.length(text) > 0, breaks + 1).otherwise(0).cast("long"),
+        "n_removed": F.coalesce(removed, F.lit(0)).cast("long"), "cuts": F.col("cuts")}
+    cleaned = F.when(F.col("cuts").isNull(), F.col(text)).otherwise(F.array_join(stay, "\n"))
+    own = [cleaned.alias(name) if name == text else column
+           for name, column in zip(docs.columns, unpacked(docs, doc_id, text)) if name not in added]
+    return joined.select(*own, *[column.alias(name) for name, column in added.items()])

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycast.llm.native import count_words
-from tallycast.llm.storage import cut_shuffled
+from tallycast.llm.storage import cut_shuffled, packed, unpacked
 from tallycast.llm.words import mixed
 
 # Weights of the sources in order, repeating.
@@ -195,21 +195,21 @@ def mixed_texts(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     Rows that agree in id, source and text are drawn as one, and each of them
     comes back with what was drawn.
     """
+    used = [name for name in ("doc_id", "text", "source", "n_chars") if name in docs.columns]
     plan = mixed_documents(docs, mix, once=True).where("taken > 0").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("source").alias("_source"),
-        F.col("size").alias("_size"), F.col("parts").alias("_parts"))
-    same = [docs["doc_id"].eqNullSafe(plan["_id"]), F.xxhash64(docs["text"]) == plan["_hash"],
-            docs["source"].eqNullSafe(plan["_source"])]
-    rows = docs.join(plan, same)
-    rows = rows.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.lit(mix.most))))
-    rows = rows.withColumn("_got", F.filter("_parts", lambda part: part["draws"] >= F.col("_turn")))
-    rows = rows.where(F.size("_got") > 0)
-    whole = F.aggregate("_got", F.lit(0).cast("long"), lambda total, part: total + part["words"]) == F.col("_size")
-    rows = rows.withColumn("_whole", whole).withColumn("_pieces", F.when(
-        ~F.col("_whole"), F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"))))
-    taken = F.array_join(F.flatten(F.transform("_got", lambda part: F.slice(
-        "_pieces", (part["from"] + 1).cast("int"), part["words"].cast("int")))), "")
-    rows = rows.withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(taken))
-    if "n_chars" in docs.columns:
+        F.col("doc_id").alias("own_id"), F.col("text_hash"), F.col("source").alias("own_source"), "size", "parts")
+    same = (F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.xxhash64("text") == F.col("text_hash"))
+            & F.col("source").eqNullSafe(F.col("own_source")))
+    rows = packed(docs, *used).join(plan, same)
+    rows = rows.withColumn("turn", F.explode(F.sequence(F.lit(1), F.lit(mix.most))))
+    rows = rows.withColumn("got", F.filter("parts", lambda part: part["draws"] >= F.col("turn")))
+    rows = rows.where(F.size("got") > 0)
+    whole = F.aggregate("got", F.lit(0).cast("long"), lambda total, part: total + part["words"]) == F.col("size")
+    rows = rows.withColumn("whole", whole).withColumn("pieces", F.when(
+        ~F.col("whole"), F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"))))
+    taken = F.array_join(F.flatten(F.transform("got", lambda part: F.slice(
+        "pieces", (part["from"] + 1).cast("int"), part["words"].cast("int")))), "")
+    rows = rows.withColumn("text", F.when(F.col("whole"), F.col("text")).otherwise(taken))
+    if "n_chars" in used:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    return rows.select(*unpacked(docs, *used))

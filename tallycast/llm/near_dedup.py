@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast.llm.components import components
-from tallycast.llm.storage import cut_shuffled
+from tallycast.llm.storage import cut_shuffled, packed, unpacked
 from tallycast.llm.words import mixed, row_slices, runs_of, words_of
 from tallycast.session import cut_lineage
 
@@ -294,6 +294,8 @@ def near_classes(
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents that stay: the one of the smallest id of each class.  Rows that
     agree in id and text count once; rows without an id stay."""
-    kept = near_classes(docs).where("kept").select(F.col("doc_id").alias("_kept"))
-    rows = docs.join(kept, F.col("doc_id") == F.col("_kept")).drop("_kept").dropDuplicates(["doc_id", "text"])
+    kept = near_classes(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
+    used = ("doc_id", "text")
+    rows = packed(docs, *used).join(kept, F.col("doc_id") == F.col("kept_id"))
+    rows = rows.dropDuplicates(["doc_id", "text"]).select(*unpacked(docs, *used))
     return rows.unionByName(docs.where("doc_id is null"))

@@ -27,7 +27,7 @@ def op1_collinear_passages(spark: SparkSession, sf: str) -> DataFrame:
 def op2_line_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Every document without the three-line windows that occur earlier."""
     return line_dedup.dedup_lines(documents(spark, sf)).select(
-        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), "text")
+        "doc_id", "n_lines", "n_removed", "text")
 
 
 def op3_compression_quality(spark: SparkSession, sf: str) -> DataFrame:

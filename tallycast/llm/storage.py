@@ -1,8 +1,9 @@
-"""Lineage cuts of the operators."""
+"""Lineage cuts of the operators, and columns that pass through them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tallycast.session import cut_lineage
 
@@ -19,3 +20,15 @@ def cut_shuffled(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions")) // SHUFFLE_SHARE
     return cut_lineage(df.coalesce(max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, partitions)))
+
+
+def packed(docs: DataFrame, *used: str) -> DataFrame:
+    """The used columns, and all others in one column ``rest``, so that no name of
+    theirs can meet a name that an operator adds."""
+    others = [F.col(f"`{name}`") for name in docs.columns if name not in used]
+    return docs.select(*used, (F.struct(*others) if others else F.lit(None).cast("string")).alias("rest"))
+
+
+def unpacked(docs: DataFrame, *used: str) -> list[Column]:
+    """The columns of ``docs`` in their order, out of its packed form."""
+    return [F.col(f"`{name}`") if name in used else F.col("rest").getField(name).alias(name) for name in docs.columns]
