@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast import constants
@@ -17,6 +20,22 @@ from tallycast.operators.weights import quarter_weight, split_holdout
 from tallycast.session import cut_lineage
 
 
+# Fits that run at a time: their levels are small jobs that leave cores idle.
+FITS_AT_ONCE = 4
+T = TypeVar("T")
+R = TypeVar("R")
+
+
+def side_by_side(spark: SparkSession, run: Callable[[T], R], cases: Iterable[T]) -> list[R]:
+    """Results of independent fits in the order of their cases, a few at a time."""
+    cases = list(cases)
+    if len(cases) < 2:
+        return [run(case) for case in cases]
+    with ThreadPool(min(FITS_AT_ONCE, len(cases))) as pool:
+        # Each thread keeps the job properties of the caller.
+        return pool.map(lambda case: inheritable_thread_target(spark)(run)(case), cases)
+
+
 @dataclass(frozen=True)
 class TreeSpec:
     """Parameters of one booster."""
@@ -82,12 +101,25 @@ def fit_with_holdout(
     early = spec.estimator(weight).fit(train)
     errors = early.evaluateEachIteration(held, spec.loss)
     best = min(range(len(errors)), key=lambda i: errors[i]) + 1
-    if best < spec.rounds:
-        early = spec.estimator(weight, best).fit(train)
+    early = first_trees(early, best)
     full = spec.estimator(weight, best).fit(rows)
     return Fitted(full, early, best, float(errors[best - 1]))
 
 
+def first_trees(model: GBTRegressionModel, count: int) -> GBTRegressionModel:
+    """The model after its first ``count`` rounds, which later ones do not change."""
+    if count >= model.getNumTrees:
+        return model
+    java, gateway = model._java_obj, SparkSession.active().sparkContext._gateway
+    kind = gateway.jvm.org.apache.spark.ml.regression
+    trees = gateway.new_array(kind.DecisionTreeRegressionModel, count)
+    weights = gateway.new_array(gateway.jvm.double, count)
+    for place in range(count):
+        trees[place], weights[place] = java.trees()[place], float(model.treeWeights[place])
+    shorter = GBTRegressionModel(kind.GBTRegressionModel(model.uid, trees, weights))
+    return shorter.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
 def predict(model: GBTRegressionModel, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Predictions on the original scale: keys and yhat."""
     return model.transform(rows).select(*keys, from_log(F.col("prediction")).alias("yhat"))
@@ -98,12 +130,13 @@ def fit_specialists(
     quarters: Iterable[int] = (1, 2, 3, 4), boost: float = constants.QUARTER_BOOST,
 ) -> dict[int, Fitted]:
     """One model per quarter, trained with that quarter's rows weighted up."""
-    fitted = {}
-    for quarter in quarters:
+    def fit(quarter: int) -> Fitted:
         boosted = rows.withColumn(
             "weight", quarter_weight(F.col("weight"), F.col("Date"), quarter, boost))
-        fitted[quarter] = fit_with_holdout(spec, boosted, after=after)
-    return fitted
+        return fit_with_holdout(spec, boosted, after=after)
+
+    quarters = list(quarters)
+    return dict(zip(quarters, side_by_side(rows.sparkSession, fit, quarters)))
 
 
 def predict_specialists(
@@ -123,12 +156,12 @@ def predict_over_seeds(
     after: dt.date, seeds: Sequence[int] = constants.COMPONENT_SEEDS,
 ) -> DataFrame:
     """Mean prediction of every spec fitted with every seed, not below zero."""
+    cases = [replace(spec, seed=seed) for seed in seeds for spec in specs]
     runs = None
-    for seed in seeds:
-        for spec in specs:
-            fitted = fit_with_holdout(replace(spec, seed=seed), rows, after=after)
-            part = predict(fitted.full, future, keys)
-            runs = part if runs is None else runs.unionByName(part)
+    for fitted in side_by_side(
+            rows.sparkSession, lambda spec: fit_with_holdout(spec, rows, after=after), cases):
+        part = predict(fitted.full, future, keys)
+        runs = part if runs is None else runs.unionByName(part)
     return mean_over_runs(runs, keys=keys)
 
 

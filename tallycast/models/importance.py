@@ -84,9 +84,9 @@ def ranked_with_meaning(
     combined: DataFrame, meanings: DataFrame, n: int = 15, default: str = constants.UNKNOWN_MEANING
 ) -> DataFrame:
     """The top features with rank and explanation."""
-    best = top_rows(combined.select("feature", "total"), "total", n, "feature").withColumn(
-        "report", F.lit("combined"))
-    numbered = ranked(best, "total", n, within=["report"], ties=["feature"])
+    best = top_rows(combined.select("feature", "total"), "total", n, "feature")
+    # One group of n rows, all that the report shows.
+    numbered = ranked(best, "total", n, within=[], ties=["feature"])
     return numbered.join(meanings, "feature", "left").select(
         "rank", "feature", "total", F.coalesce("meaning", F.lit(default)).alias("meaning"))
 

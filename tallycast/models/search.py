@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallycast import constants
-from tallycast.models.boosted import TreeSpec
+from tallycast.models.boosted import TreeSpec, side_by_side
 from tallycast.operators.weights import split_holdout
 
 # Searched ranges per booster as (kind, low, high).
@@ -55,14 +55,18 @@ def search(
     """
     train, held = split_holdout(rows, after)
     held = held.withColumn("weight", F.lit(1.0))
-    results = []
+    cases = []
     for spec in specs:
         random = np.random.default_rng(seed)
-        for trial in range(trials):
-            params = draw(spaces[spec.name], random)
-            model = spec.tuned(params).estimator("weight").fit(train)
-            score = min(model.evaluateEachIteration(held, "absolute"))
-            results.append((target, spec.name, trial, params, float(score)))
+        cases += [(spec, trial, draw(spaces[spec.name], random)) for trial in range(trials)]
+
+    def tried(case: tuple) -> tuple:
+        spec, trial, params = case
+        model = spec.tuned(params).estimator("weight").fit(train)
+        score = min(model.evaluateEachIteration(held, "absolute"))
+        return target, spec.name, trial, params, float(score)
+
+    results = side_by_side(rows.sparkSession, tried, cases)
     return rows.sparkSession.createDataFrame(
         results, "target string, model string, trial int, params map<string, double>, score double")
 

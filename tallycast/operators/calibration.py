@@ -59,8 +59,8 @@ def calibration_errors(
     partial = cells.where(F.col("cell") >= 0).select(*keys, "cell", "sy", "sp")
     filled = every.join(partial, [*keys, "cell"], "left") if keys else every.join(
         partial, "cell", "left")
-    # n is one value per group; it keeps the window partitioned when keys is empty.
-    up_to = Window.partitionBy(*keys, "n").orderBy("cell").rowsBetween(
+    # A group has one row per grid point, so without keys the window holds the grid.
+    up_to = Window.partitionBy(*keys).orderBy("cell").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     multiplier = F.lit(start) + F.col("cell") * F.lit(step)
     below_y, below_p = F.sum(F.coalesce("sy", F.lit(0.0))).over(up_to), F.sum(

@@ -17,7 +17,6 @@ from tallycast import constants
 from tallycast.functions.scalars import flag
 from tallycast.operators.intervals import active_by_day, nearest_event_offset
 
-MOST_BROADCAST_DAYS = 36_600
 NOT_FEATURES = ("Date", "Revenue", "COGS")
 
 
@@ -205,14 +204,9 @@ def build_features(
     return active_by_day(with_promo_windows(lunar, schedule), promotions)
 
 
-def attach_days(panel: DataFrame, days: DataFrame, most_days: int = MOST_BROADCAST_DAYS) -> DataFrame:
-    """Join calendar features to a panel by day.
-
-    The calendar has one row per day, so it is counted and sent to all
-    executors when it spans at most a century; a longer one joins by shuffle.
-    """
-    small = days.limit(most_days + 1).count() <= most_days
-    return panel.join(F.broadcast(days) if small else days, "Date")
+def attach_days(panel: DataFrame, days: DataFrame) -> DataFrame:
+    """Join calendar features, one row per day, to a panel by day."""
+    return panel.join(days, "Date")
 
 
 def feature_names(df: DataFrame, *, exclude: Sequence[str] = ()) -> list[str]:

@@ -13,8 +13,8 @@ from tallycast.functions.scalars import ratio
 def regression_metrics(
     scored: DataFrame, *, keys: Sequence[str], actual: str = "y", predicted: str = "yhat"
 ) -> DataFrame:
-    """MAE, RMSE and R² per group in one pass."""
-    y = F.col(actual)
+    """MAE, RMSE and R² per group in one pass, over the rows with both values."""
+    y = F.when(F.col(predicted).isNotNull(), F.col(actual))
     error = y - F.col(predicted)
     return scored.groupBy(*keys).agg(
         F.avg(F.abs(error)).alias("mae"),

@@ -22,7 +22,6 @@ from tallycast.models.ridge import as_vectors
 from tallycast.operators.dynamic import dynamic_names
 from tallycast.operators.features import attach_days, build_features, feature_names, lunar_aligned_lag
 from tallycast.operators.panel import cogs_ratio, daily_components
-from tallycast.operators.ranking import fixed_sample
 from tallycast.operators.reshape import stack
 from tallycast.operators.weights import stable_year_weight
 from tallycast.plans import (
@@ -189,7 +188,7 @@ def _labelled(data: Prepared, names: Sequence[str], target: str, period: Period)
 def explain(
     spark: SparkSession, folder: str, out: str, *, period: Period = Period(),
     specs: Sequence[boosted.TreeSpec] = (boosted.DEFAULT_SPECS[0], boosted.DEFAULT_SPECS[2]),
-    targets: Sequence[str] = constants.TARGETS, sample: int = 1500, report_rows: int = 15,
+    targets: Sequence[str] = constants.TARGETS, report_rows: int = 15,
 ) -> DataFrame:
     """Importance of every feature per target and booster; writes the combined table
     and returns its top rows with their meaning."""
@@ -197,11 +196,10 @@ def explain(
     tables = {}
     for target in targets:
         rows = _labelled(data, data.features, target, period)
-        seen = cut_lineage(fixed_sample(rows, sample, keys=BY_DAY))
         for spec in specs:
             model = boosted.fit_with_holdout(spec, rows, after=period.holdout_after).full
             tables[f"{target}_{spec.name}"] = importance.permutation_importance(
-                model, seen, data.features, keys=BY_DAY)
+                model, rows, data.features, keys=BY_DAY)
     long = cut_lineage(stack(tables, "model"))
     combined = importance.combined_importance(long, list(tables))
     sinks.write_importance(combined, f"{out}/importance")

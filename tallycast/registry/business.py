@@ -76,7 +76,7 @@ def dash_totals(spark, sf):
 
 
 def dash_by_year(spark, sf):
-    return rounded(dashboard.by_year(driver.daily_sales(spark, sf)), 0, "revenue", "cogs")
+    return rounded(dashboard.by_year(driver.daily_totals(spark, sf)), 0, "revenue", "cogs")
 
 
 def dash_by_month(spark, sf):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallycast.operators.panel import daily_components, densify, order_totals
 from tallycast.session import cut_lineage
-from tallycast.sources.dimensions import lunar_new_year
+from tallycast.sources.dimensions import lunar_new_year, spine_of
 
 KEYS = ["series"]
 
@@ -135,6 +135,14 @@ def daily_sales(spark: SparkSession, folder: str) -> DataFrame:
         F.sum("Revenue").alias("Revenue"), F.sum("COGS").alias("COGS"))
 
 
+def daily_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue and COGS per day, without the segments."""
+    totals = order_totals(
+        order_items(spark, folder), {"Revenue": F.col("revenue"), "COGS": F.col("cogs")})
+    return orders(spark, folder).join(totals, "order_id").groupBy(F.col("order_date").alias("Date")).agg(
+        F.sum("Revenue").alias("Revenue"), F.sum("COGS").alias("COGS"))
+
+
 def panel(spark: SparkSession, folder: str) -> DataFrame:
     """The daily sales with every day of each segment."""
     return densify(daily_sales(spark, folder), keys=KEYS, fill={"Revenue": 0.0, "COGS": 0.0})
@@ -156,9 +164,10 @@ def sales_once(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_days(spark: SparkSession, folder: str) -> DataFrame:
     """Every day of the order calendar with its number of orders."""
-    counts = orders(spark, folder).groupBy(F.col("order_date").alias("Date")).agg(
-        F.count(F.lit(1)).alias("n_orders"), F.lit("all").alias("series"))
-    return densify(counts, keys=KEYS, fill={"n_orders": 0}).select("Date", "n_orders")
+    counts = orders(spark, folder).where("order_date is not null").groupBy(
+        F.col("order_date").alias("Date")).agg(F.count(F.lit(1)).alias("n_orders"))
+    return spine_of(counts).join(counts, "Date", "left").select(
+        "Date", F.coalesce("n_orders", F.lit(0)).alias("n_orders"))
 
 
 def order_days_once(spark: SparkSession, folder: str) -> DataFrame:

@@ -146,9 +146,7 @@ def forecast_file(spark, sf):
 
 
 def published_variant(spark, sf):
-    total = _variants_of_future(spark, sf).groupBy("variant", "Date").agg(
-        F.sum("Revenue").alias("Revenue"), F.sum("COGS").alias("COGS"))
-    return publish_variant(total, "default")
+    return publish_variant(_variants_of_future(spark, sf), "default", keys=driver.KEYS)
 
 
 def _members(spark, sf):
@@ -349,10 +347,10 @@ SELECT variant, series, strftime("Date", '%Y-%m-%d') AS "Date",
        round_even(greatest(max(yhat) FILTER (target = 'COGS'), 0), 2) AS "COGS"
 FROM calibrated GROUP BY variant, series, "Date" """,
     "published_variant": f"""{_PUBLISHED}
-SELECT strftime("Date", '%Y-%m-%d') AS "Date",
-       round_even(greatest(sum(yhat) FILTER (target = 'Revenue'), 0), 2) AS "Revenue",
-       round_even(greatest(sum(yhat) FILTER (target = 'COGS'), 0), 2) AS "COGS"
-FROM calibrated WHERE variant = 'default' GROUP BY calibrated."Date" """,
+SELECT series, strftime("Date", '%Y-%m-%d') AS "Date",
+       round_even(greatest(max(yhat) FILTER (target = 'Revenue'), 0), 2) AS "Revenue",
+       round_even(greatest(max(yhat) FILTER (target = 'COGS'), 0), 2) AS "COGS"
+FROM calibrated WHERE variant = 'default' GROUP BY series, calibrated."Date" """,
     "blend_weighted": f"""WITH {_MEMBERS}
 SELECT series, "Date", 'Revenue' AS target,
        round(0.55::DOUBLE * sr + 0.30::DOUBLE * ar + 0.15::DOUBLE * dr, 4) AS yhat FROM members

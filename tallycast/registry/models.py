@@ -9,7 +9,6 @@ from tallycast import constants
 from tallycast.functions.scalars import from_log, to_log
 from tallycast.models import boosted, importance, recursive, ridge, search
 from tallycast.operators import dynamic, features, metrics, panel as panels, reshape
-from tallycast.operators.ranking import fixed_sample
 from tallycast.operators.weights import split_holdout, stable_year_weight
 from tallycast.plans import components as component_plan
 from tallycast.plans import recursive as recursive_plan
@@ -24,10 +23,10 @@ KEYS = driver.KEYS
 BY_DAY = [*KEYS, "Date"]
 # Small boosters: the registered queries show the plans, not the best accuracy.
 SPECS = (
-    boosted.TreeSpec("squared", "squared", 0.2, 4, min_leaf=30, row_share=0.85, feature_share=0.75, rounds=5),
-    boosted.TreeSpec("absolute", "absolute", 0.3, 3, min_leaf=30, rounds=4),
+    boosted.TreeSpec("squared", "squared", 0.2, 4, min_leaf=30, row_share=0.85, feature_share=0.75, rounds=10),
+    boosted.TreeSpec("absolute", "absolute", 0.3, 3, min_leaf=30, rounds=10),
 )
-SMALLEST = boosted.TreeSpec("absolute", "absolute", 0.5, 2, min_leaf=30, rounds=1)
+SMALL = boosted.TreeSpec("absolute", "absolute", 0.4, 3, min_leaf=30, rounds=5)
 
 
 def _calendar(df):
@@ -116,21 +115,21 @@ def trained_variants(spark, sf):
     """The whole training pipeline: calibrated variants of the future days."""
     _, history, future, names, _, _ = _frames(spark, sf)
     run = training.train(
-        history, future, names, keys=KEYS, after=driver.HOLDOUT_AFTER, specs=[SMALLEST],
+        history, future, names, keys=KEYS, after=driver.HOLDOUT_AFTER, specs=[SMALL],
         weights={"Revenue": {"absolute": 1.0}, "COGS": {"absolute": 1.0}},
         stable_years=driver.STABLE_YEARS)
     return variants.targets_wide(run.future_variants, keys=["variant", *BY_DAY])
 
 
 def component_forecast(spark, sf):
-    """Orders times order value with two seeds."""
+    """Orders times order value, one booster with every seed."""
     panel, history, future, names, _, _ = _frames(spark, sf)
     rows = cut_lineage(component_plan.with_components(
         history, driver.components(spark, sf), keys=KEYS))
     ratios = panels.cogs_ratio(panel.where(F.col("Revenue") > 0), keys=KEYS)
     return component_plan.component_forecast(
         rows, future, names, ratios, keys=KEYS, after=driver.HOLDOUT_AFTER,
-        specs=SPECS[1:], seeds=(42, 123), anchor=1_000_000.0, stable_years=driver.STABLE_YEARS)
+        specs=SPECS[1:], anchor=1_000_000.0, stable_years=driver.STABLE_YEARS)
 
 
 def recursive_forecast(spark, sf):
@@ -153,21 +152,20 @@ def recursive_scores(spark, sf):
 
 
 def search_trials(spark, sf):
-    """Two random parameter sets of one booster with their hold-out scores."""
+    """Random parameter sets of two boosters with their hold-out scores."""
     _, history, _, names, _, _ = _frames(spark, sf)
     rows = _labelled(history, names)
     trials = search.search(
-        rows, [SPECS[1]], target="Revenue", after=driver.HOLDOUT_AFTER, trials=2)
+        rows, SPECS, target="Revenue", after=driver.HOLDOUT_AFTER, trials=4)
     return trials.select("target", "model", "trial", "score")
 
 
 def perm_importance(spark, sf):
-    """Permutation importance on a fixed-size sample of the history."""
+    """Permutation importance over the whole history."""
     _, history, _, names, _, _ = _frames(spark, sf)
     rows = _labelled(history, names)
     fitted = boosted.fit_with_holdout(SPECS[1], rows, after=driver.HOLDOUT_AFTER)
-    sample = fixed_sample(rows, 1500, keys=BY_DAY)
-    return importance.permutation_importance(fitted.full, sample, names, keys=BY_DAY)
+    return importance.permutation_importance(fitted.full, rows, names, keys=BY_DAY)
 
 
 def ridge_importance(spark, sf):

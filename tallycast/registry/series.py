@@ -15,6 +15,7 @@ from tallycast.operators.aggregates import condition_share
 from tallycast.plans import diagnostics
 from tallycast.registry import driver
 from tallycast.registry.common import DAILY_SQL, LUNAR_SQL, PANEL_SQL, rounded, rounded_off_ties
+from tallycast.session import cut_lineage
 from tallycast.sources.dimensions import spine_of
 from tallycast.sources.tables import read_parquet_table
 
@@ -70,9 +71,7 @@ def diag_ratio(spark, sf):
 
 
 def diag_top10(spark, sf):
-    total = driver.daily_sales(spark, sf).groupBy("Date").agg(
-        F.sum("Revenue").alias("Revenue"), F.sum("COGS").alias("COGS"))
-    return rounded(diagnostics.top_days(total, 10), 4, "Revenue", "COGS")
+    return rounded(diagnostics.top_days(driver.daily_totals(spark, sf), 10), 4, "Revenue", "COGS")
 
 
 def diag_weight_share(spark, sf):
@@ -129,7 +128,7 @@ def date_filter(spark, sf):
 
 def head_tail(spark, sf):
     """The first and last five days of the total series."""
-    total = driver.sales_once(spark, sf).groupBy("Date").agg(F.sum("Revenue").alias("Revenue"))
+    total = cut_lineage(driver.daily_totals(spark, sf).select("Date", "Revenue"))
     ends = ranking.first_rows(total, 5, "Date").unionByName(ranking.last_rows(total, 5, "Date"))
     return rounded(ends, 4, "Revenue")
 

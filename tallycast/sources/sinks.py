@@ -34,9 +34,11 @@ def write_forecasts(forecast: DataFrame, path: str, *, by: Sequence[str] = ("var
         "header", True).partitionBy(*by).csv(path)
 
 
-def publish_variant(variants: DataFrame, chosen: str = "default") -> DataFrame:
-    """The rows of one variant in the published layout."""
-    return as_forecast_file(variants.where(F.col("variant") == chosen))
+def publish_variant(
+    variants: DataFrame, chosen: str = "default", *, keys: Sequence[str] = ()
+) -> DataFrame:
+    """The rows of one variant in the published layout, with the keys of a panel."""
+    return as_forecast_file(variants.where(F.col("variant") == chosen), keys=keys)
 
 
 def run_metadata(

@@ -87,7 +87,7 @@ def test_search_explanation_and_training_hand_over_files(spark, folder, out):
     best = jobs.tune(spark, folder, out, period=PERIOD, specs=SPECS, targets=["Revenue"], trials=1, spaces=space)
     assert best.count() == 1
     report = jobs.explain(
-        spark, folder, out, period=PERIOD, specs=SPECS, targets=["Revenue"], sample=300).collect()
+        spark, folder, out, period=PERIOD, specs=SPECS, targets=["Revenue"]).collect()
     assert [r["rank"] for r in sorted(report, key=lambda r: r["rank"])] == list(range(1, 16))
     both = {"Revenue": {"squared": 1.0}, "COGS": {"squared": 1.0}}
     run = jobs.train(spark, folder, out, period=PERIOD, specs=SPECS, weights=both, top_n=6)
