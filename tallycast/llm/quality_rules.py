@@ -92,8 +92,12 @@ def _measured(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     steps = F.transform("_places", lambda at, i: F.least(
         F.lit(WINDOW), F.coalesce(F.get("_places", i + 1) - at, F.lit(WINDOW))))
     covered = F.coalesce(F.aggregate(steps, F.lit(0), lambda total, step: total + step), F.lit(0))
-    return rows.withColumn("n_repeat_words", covered).select(
-        "doc_id", *[F.col(name).cast("long").alias(name) for name in MEASURES])
+    rows = rows.withColumn("n_repeat_words", covered).select(
+        "doc_id", *[F.col(name).cast("long").alias(name) for name in MEASURES],
+        F.monotonically_increasing_id().alias("_number"))
+    # The row number keeps filters above the steps: pushed down, a condition would be
+    # written out over the text, with every step repeated wherever it is used.
+    return rows.withColumn("n_repeat_words", F.when(F.col("_number") >= 0, F.col("n_repeat_words"))).drop("_number")
 
 
 def ledger(
@@ -136,7 +140,5 @@ def kept_documents(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
     The text decides, so rows without an id are judged like any other."""
     names = docs.columns
     packed = docs.select(F.struct(*[F.col(f"`{name}`") for name in names]).alias("row"), F.col("text"))
-    # The row number keeps the filter above the ledger: pushed down, the condition would
-    # be written out over the text, with every step repeated wherever it is used.
-    judged = ledger(packed, doc_id="row").withColumn("number", F.monotonically_increasing_id())
-    return judged.where(passes(policy) & (F.col("number") >= 0)).select(*[F.col("doc_id")[name].alias(name) for name in names])
+    judged = ledger(packed, doc_id="row")
+    return judged.where(passes(policy)).select(*[F.col("doc_id")[name].alias(name) for name in names])
