@@ -128,6 +128,23 @@ def test_passages_of_fifty_words_are_found(spark):
     assert passages.passage_classes(frame(spark, [])).count() == 0
 
 
+def test_passages_are_found_whatever_earlier_documents_hold(spark):
+    whole = [f"p{n}" for n in range(54)]
+    own = lambda name: [f"{name}{n}" for n in range(20)]
+    rows = [
+        # The seeds of the passage occur first in documents that hold less of it.
+        (1, own("a") + whole[:22] + own("b")), (2, own("c") + whole[16:40] + own("d")),
+        (3, own("e") + whole[34:] + own("f")),
+        (4, own("g") + whole + own("h")), (5, own("i") + whole + own("j")),
+        # Runs of one word, the first of them shorter than a passage.
+        (6, own("k") + ["la"] * 44 + own("l")), (7, own("m") + ["la"] * 90 + own("n")),
+        (8, own("o") + ["la"] * 60 + own("p_")), (9, own("q") + ["la"] * 44 + own("r")),
+    ]
+    docs = frame(spark, [(n, " ".join(words)) for n, words in rows])
+    got = {row["doc_id"]: row["class_id"] for row in passages.passage_classes(docs).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 7: 7, 8: 7, 9: 9}
+
+
 def test_chains_equal_a_search_over_all_predecessors():
     draw = random.Random(5)
     for _ in range(60):
