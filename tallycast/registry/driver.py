@@ -21,7 +21,6 @@ HOLDOUT_AFTER = dt.date(2001, 1, 31)
 HISTORY_END = dt.date(2001, 8, 1)
 FORECAST_FIRST = dt.date(2001, 8, 2)
 FORECAST_LAST = dt.date(2002, 1, 31)
-GIVEN_LAST = dt.date(2001, 8, 31)
 WARMUP_END = dt.date(1997, 1, 1)
 TREND_ORIGIN = dt.date(1998, 1, 1)
 REGIME_YEAR = 1998

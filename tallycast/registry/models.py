@@ -87,11 +87,11 @@ GIVEN = ridge.RidgeModel(
 
 
 def recursive_given(spark, sf):
-    """Recursion of a given model over 30 days of every segment."""
+    """Recursion of a given model over the whole horizon of every segment."""
     panel = panels.densify(
         driver.panel(spark, sf), keys=KEYS, fill={"Revenue": 0.0, "COGS": 0.0},
         until=driver.HISTORY_END).select(*BY_DAY, "Revenue")
-    days = date_spine(spark, driver.FORECAST_FIRST, driver.GIVEN_LAST).withColumn(
+    days = date_spine(spark, driver.FORECAST_FIRST, driver.FORECAST_LAST).withColumn(
         "is_weekend", (F.weekday("Date") > 4).cast("int"))
     return rounded(recursive.recursive_forecast(
         panel, days, GIVEN, "Revenue", keys=KEYS), 3, "Revenue")
@@ -297,7 +297,7 @@ walk AS (
   SELECT series, CAST("Date" + 1 AS DATE),
          greatest(exp(12.5::DOUBLE + 2e-7::DOUBLE * y - 1e-7::DOUBLE * before
            + CASE WHEN isodow("Date" + 1) >= 6 THEN 0.25::DOUBLE ELSE 0 END) - 1, 0), y
-  FROM walk WHERE "Date" < DATE '2001-08-31')
+  FROM walk WHERE "Date" < DATE '{driver.FORECAST_LAST}')
 SELECT series, "Date", round(y, 3) AS "Revenue" FROM walk WHERE "Date" > DATE '2001-08-01'""",
     "line_attribution": f"{_IMP} SELECT model, feature, round(importance, 4) AS importance FROM imp",
     "importance_share": f"{_IMP} SELECT model, feature, round(share, 8) AS share FROM share",
