@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,13 +11,18 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({name: F.round(F.col(name), digits) for name in columns})
 
 
-# Means of amounts can end exactly on a rounding tie, where the last bit of a sum
-# would decide.  Adding this constant before rounding moves every such tie away.
-TIE_SHIFT = 0.0000314159
+def exactly_rounded(value: Column, digits: int = 4) -> Column:
+    """Rounded as a decimal: means of amounts can end on a rounding tie, where the
+    last bit of a sum would decide; eight digits hold the tie itself."""
+    return F.round(value.cast("decimal(38,8)"), digits).cast("double")
 
 
-def rounded_off_ties(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    return df.withColumns({name: F.round(F.col(name) + TIE_SHIFT, digits) for name in columns})
+def exactly_rounded_sql(value: str, digits: int = 4) -> str:
+    return f"CAST(round(CAST({value} AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
+
+
+def rounded_off_ties(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({name: exactly_rounded(F.col(name)) for name in columns})
 
 
 # Revenue and COGS per segment and day, and the same with every day present.

@@ -10,7 +10,7 @@ from tallycast import constants
 from tallycast.operators import dynamic, features, rolling, windows
 from tallycast.operators.intervals import active_by_day
 from tallycast.registry import driver
-from tallycast.registry.common import DAYS_SQL, LUNAR_SQL, PANEL_SQL, TIE_SHIFT, rounded, rounded_off_ties
+from tallycast.registry.common import DAYS_SQL, LUNAR_SQL, PANEL_SQL, exactly_rounded, exactly_rounded_sql, rounded, rounded_off_ties
 
 KEYS = driver.KEYS
 
@@ -80,19 +80,19 @@ def feat_lags(spark, sf):
     rows = windows.by_date(KEYS)
     columns = windows.lag_columns("Revenue", rows)
     df = driver.panel(spark, sf).select("series", "Date", "Revenue").withColumns(columns)
-    return rounded_off_ties(df, 2, "Revenue", *columns)
+    return rounded_off_ties(df, "Revenue", *columns)
 
 
 def feat_rolling(spark, sf):
     df = driver.panel(spark, sf).select("series", "Date", "Revenue")
     result = rolling.with_rolling(df, "Revenue", KEYS)
-    return rounded_off_ties(result, 2, "Revenue", *rolling.rolling_names("Revenue"))
+    return rounded_off_ties(result, "Revenue", *rolling.rolling_names("Revenue"))
 
 
 def feat_ewm(spark, sf):
     df = driver.panel(spark, sf).select("series", "Date", "Revenue")
     result = windows.with_ewm(df, "Revenue", KEYS)
-    return rounded_off_ties(result, 2, "Revenue", "Revenue_ewm_7", "Revenue_ewm_28")
+    return rounded_off_ties(result, "Revenue", "Revenue_ewm_7", "Revenue_ewm_28")
 
 
 def feat_change(spark, sf):
@@ -109,7 +109,7 @@ def feat_dynamic(spark, sf):
         df = dynamic.with_dynamic_features(df, target, keys=KEYS)
     names = [n for target in constants.TARGETS for n in dynamic.dynamic_names(target)]
     return df.groupBy("series", F.year("Date").alias("year")).agg(
-        *[F.round(F.avg(n) + TIE_SHIFT, 1).alias(n) for n in names])
+        *[exactly_rounded(F.avg(n)).alias(n) for n in names])
 
 
 QUERIES = {fn.__name__: fn for fn in (
@@ -269,15 +269,18 @@ def _ewm_sql(target: str) -> list[str]:
     return columns
 
 
-def _rounded_sql(columns: list[str], digits: int, keep: str = f"series, {_D}, ") -> str:
+def _rounded_sql(columns: list[str], keep: str = f"series, {_D}, ") -> str:
     names = [c.rsplit(" AS ", 1)[1] for c in columns]
-    return keep + ", ".join(f"round({n} + 0.0000314159::DOUBLE, {digits}) AS {n}" for n in names)
+    return keep + ", ".join(f"{exactly_rounded_sql(n)} AS {n}" for n in names)
+
+
+_REVENUE = '"Revenue"'
 
 
 def _panel_query(columns: list[str]) -> str:
     inner = f'SELECT series, {_D}, "Revenue", {", ".join(columns)} FROM panel'
     return (f"WITH {PANEL_SQL}, x AS ({inner}) "
-            f'SELECT {_rounded_sql(columns, 2)}, round("Revenue" + 0.0000314159::DOUBLE, 2) AS "Revenue" FROM x')
+            f'SELECT {_rounded_sql(columns)}, {exactly_rounded_sql(_REVENUE)} AS "Revenue" FROM x')
 
 
 def _lunar_lag_sql() -> str:
@@ -293,7 +296,7 @@ FROM x LEFT JOIN daily p ON p.series = x.series AND p.{_D} = x.ref"""
 def _dynamic_sql() -> str:
     columns = [c for t in constants.TARGETS for c in _lag_sql(t) + _rolling_sql(t) + _ewm_sql(t)]
     names = [c.rsplit(" AS ", 1)[1] for c in columns]
-    means = ", ".join(f"round(avg({n}) + 0.0000314159::DOUBLE, 1) AS {n}" for n in names)
+    means = ", ".join(f"{exactly_rounded_sql(f'avg({n})')} AS {n}" for n in names)
     return (f"WITH {PANEL_SQL}, x AS (SELECT series, {_D}, {', '.join(columns)} FROM panel) "
             f"SELECT series, CAST(year({_D}) AS INTEGER) AS year, {means} FROM x GROUP BY 1, 2")
 

@@ -40,7 +40,7 @@ def date_spine(spark, sf):
 
 def daily_components(spark, sf):
     daily = driver.components(spark, sf)
-    return rounded_off_ties(rounded(daily, 4, "rev_recon"), 2, "aov")
+    return rounded_off_ties(rounded(daily, 4, "rev_recon"), "aov")
 
 
 def dense_panel(spark, sf):
@@ -49,7 +49,7 @@ def dense_panel(spark, sf):
 
 def diag_summary(spark, sf):
     result = diagnostics.summary(driver.daily_sales(spark, sf), keys=KEYS)
-    means = rounded_off_ties(result, 2, "mean_revenue", "mean_cogs")
+    means = rounded_off_ties(result, "mean_revenue", "mean_cogs")
     return rounded(rounded(means, 4, "min_revenue", "max_revenue"), 8, "mean_margin")
 
 
@@ -115,7 +115,7 @@ def log_transform(spark, sf):
 def fill_median(spark, sf):
     """Average order value with gaps between days filled by the segment's median."""
     dense = panel.densify(driver.components(spark, sf), keys=KEYS, fill={"n_orders": 0, "aov": None})
-    return rounded_off_ties(panel.fill_with_median(dense, "aov", keys=KEYS), 2, "aov")
+    return rounded_off_ties(panel.fill_with_median(dense, "aov", keys=KEYS), "aov")
 
 
 def date_filter(spark, sf):
@@ -176,15 +176,15 @@ SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL
 FROM orders""",
     "daily_components": f"""
 WITH {_COMPONENTS}
-SELECT series, "Date", n_orders, round(rev_recon, 4) AS rev_recon, round(aov + 0.0000314159::DOUBLE, 2) AS aov FROM comp""",
+SELECT series, "Date", n_orders, round(rev_recon, 4) AS rev_recon, CAST(round(CAST(aov AS DECIMAL(38,8)), 4) AS DOUBLE) AS aov FROM comp""",
     "dense_panel": f"""
 WITH {PANEL_SQL}
 SELECT series, "Date", round("Revenue", 4) AS "Revenue", round("COGS", 4) AS "COGS" FROM panel""",
     "diag_summary": f"""
 WITH {DAILY_SQL}
 SELECT series, count(*) AS rows, min("Date") AS first_date, max("Date") AS last_date,
-       round(avg("Revenue") + 0.0000314159::DOUBLE, 2) AS mean_revenue, round(min("Revenue"), 4) AS min_revenue,
-       round(max("Revenue"), 4) AS max_revenue, round(avg("COGS") + 0.0000314159::DOUBLE, 2) AS mean_cogs,
+       CAST(round(CAST(avg("Revenue") AS DECIMAL(38,8)), 4) AS DOUBLE) AS mean_revenue, round(min("Revenue"), 4) AS min_revenue,
+       round(max("Revenue"), 4) AS max_revenue, CAST(round(CAST(avg("COGS") AS DECIMAL(38,8)), 4) AS DOUBLE) AS mean_cogs,
        round(1 - avg("COGS" / greatest("Revenue", 1)), 8) AS mean_margin
 FROM daily GROUP BY series""",
     "diag_yearly": f"""
@@ -244,7 +244,7 @@ WITH {_COMPONENTS},
 spine AS (SELECT series, CAST(unnest(generate_series(min("Date")::TIMESTAMP, max("Date")::TIMESTAMP,
           INTERVAL 1 DAY)) AS DATE) AS "Date" FROM comp GROUP BY series),
 med AS (SELECT series, median(aov) AS m FROM comp GROUP BY series)
-SELECT s.series, s."Date", coalesce(n_orders, 0) AS n_orders, round(coalesce(aov, m) + 0.0000314159::DOUBLE, 2) AS aov
+SELECT s.series, s."Date", coalesce(n_orders, 0) AS n_orders, CAST(round(CAST(coalesce(aov, m) AS DECIMAL(38,8)), 4) AS DOUBLE) AS aov
 FROM spine s JOIN med ON med.series = s.series
 LEFT JOIN comp c ON c.series = s.series AND c."Date" = s."Date" """,
     "date_filter": f"""
