@@ -145,6 +145,23 @@ def test_passages_are_found_whatever_earlier_documents_hold(spark):
     assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 6, 7: 7, 8: 7, 9: 9}
 
 
+def test_passages_are_found_within_a_class(spark):
+    own = lambda name: [f"{name}{n}" for n in range(20)]
+    one, two = [f"p{n}" for n in range(60)], [f"q{n}" for n in range(54)]
+    rows = [
+        # The seeds of the second passage occur first in documents that hold less of it.
+        (1, own("a") + two[:22] + own("b")), (2, own("c") + two[16:40] + own("d")), (3, own("e") + two[34:] + own("f")),
+        (4, own("g") + one + own("h")),
+        (5, own("i") + one + own("j") + two + own("k")), (6, own("l") + two + own("m") + one + own("n"))]
+    text = {n: " ".join(words) for n, words in rows}
+    got = {row["doc_id"]: row for row in passages.passage_classes(frame(spark, list(text.items()))).collect()}
+    assert {n: got[n]["class_id"] for n in got} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4, 6: 4}
+    assert [got[n]["n_links"] for n in (4, 5, 6)] == [2, 2, 2]
+    for n in (5, 6):
+        spans = [list(map(int, span.split(":"))) for span in got[n]["spans"].split(",")]
+        assert {text[n][a:b] for a, b in spans} == {" ".join(one), " ".join(two)}
+
+
 def test_chains_equal_a_search_over_all_predecessors():
     draw = random.Random(5)
     for _ in range(60):
