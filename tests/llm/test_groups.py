@@ -162,6 +162,44 @@ def test_passages_are_found_within_a_class(spark):
         assert {text[n][a:b] for a, b in spans} == {" ".join(one), " ".join(two)}
 
 
+@pytest.mark.parametrize("exact, blocks", [(50, 2), (60, 3), (60, 9)])
+def test_passages_next_to_templates_are_found(spark, exact, blocks):
+    passage = [f"p{n}" for n in range(exact)]
+
+    def record(name):
+        return [word for n in range(blocks) for word in [f"{name}{n}_{k}" for k in range(8)] + [f"label{n}_{k}" for k in range(4)]]
+
+    rows = [(1, record("a") + passage + record("b")), (2, record("c") + passage + record("d")), (3, record("e"))]
+    text = {n: " ".join(words) for n, words in rows}
+    got = {row["doc_id"]: row for row in passages.passage_classes(frame(spark, list(text.items()))).collect()}
+    assert {n: (got[n]["class_id"], got[n]["n_links"]) for n in got} == {1: (1, 1), 2: (1, 1), 3: (3, 0)}
+    for n in (1, 2):
+        start, end = map(int, got[n]["spans"].split(":"))
+        assert " ".join(passage) in text[n][start:end]
+
+
+def test_good_stretches_equal_brute_force():
+    draw = random.Random(4)
+    for _ in range(200):
+        i, j, runs = 0, 0, []
+        for _ in range(draw.randrange(1, 25)):
+            runs.append((i, j, n := draw.choice([2, 4, 9, 30])))
+            i, j = i + n + draw.randrange(9), j + n + draw.randrange(9)
+        lengths = {}
+        for p in range(len(runs)):
+            for q in range(p, len(runs)):
+                longer = max(runs[q][k] + runs[q][2] - runs[p][k] for k in (0, 1))
+                if longer >= 50 and sum(n for *_, n in runs[p:q + 1]) >= 0.8 * longer:
+                    lengths[p, q] = longer
+        got = passages.good_stretches(runs, 50, 0.8)
+        assert bool(got) == bool(lengths)
+        if got:
+            found = [max(b - a, d - c) for a, b, c, d, _ in got]
+            assert found[0] == max(lengths.values())
+            # Whatever is good touches a stretch that is reported.
+            assert all(any(a < runs[q][0] + runs[q][2] and runs[p][0] < b for a, b, *_ in got) for p, q in lengths)
+
+
 def test_chains_equal_a_search_over_all_predecessors():
     draw = random.Random(5)
     for _ in range(60):
