@@ -162,6 +162,22 @@ def test_passages_are_found_within_a_class(spark):
         assert {text[n][a:b] for a, b in spans} == {" ".join(one), " ".join(two)}
 
 
+def test_fuzzy_passages_are_found_behind_partial_holders(spark):
+    rows, pairs = [], 60
+    for n in range(pairs):
+        passage = [f"p{n}_{k}" for k in range(60)]
+        # The first holder quotes 30 words; the others differ in so many of the rest that no seed is left there.
+        edits = ({4, 14, 50}, {9, 45, 55})
+        edited = [[f"e{n}_{side}_{k}" if k in edits[side] else word for k, word in enumerate(passage)] for side in (0, 1)]
+        own = lambda name: [f"{name}{n}_{k}" for k in range(30)]  # noqa: E731, B023
+        rows += [(n, " ".join(own("a") + passage[15:45] + own("b"))),
+                 (100 + n, " ".join(own("c") + edited[0] + own("d"))), (200 + n, " ".join(own("e") + edited[1] + own("f")))]
+    got = {row["doc_id"]: row["class_id"] for row in passages.passage_classes(frame(spark, rows)).collect()}
+    assert all(got[n] == n for n in range(pairs))
+    found = sum(got[200 + n] == 100 + n for n in range(pairs))
+    assert found >= 0.5 * pairs
+
+
 @pytest.mark.parametrize("exact, blocks", [(50, 2), (60, 3), (60, 9)])
 def test_passages_next_to_templates_are_found(spark, exact, blocks):
     passage = [f"p{n}" for n in range(exact)]
