@@ -18,9 +18,9 @@ the shingles themselves.
    Each pair is verified by its exact weighted similarity.
 4. The rest: texts of a larger group that the links so far do not join to the
    group's largest class are compared with all texts of the group, in blocks of
-   ``BLOCK`` by ``BLOCK`` texts, and each keeps its most similar partner of a
-   block.  So all texts of one key that are similar end up in one class, while
-   a large group of near copies of one text takes few pairs for each.
+   ``BLOCK`` by ``BLOCK`` texts, and each keeps its most similar partner of every
+   other class in a block.  So all texts of one key that are similar end up in one
+   class, while a large group of near copies of one text takes few pairs for each.
 5. Classes are the connected components of the verified links.
 
 Null, empty and blank texts have no shingles and are classes of their own.
@@ -196,8 +196,8 @@ def _paired_with_leaders(members: DataFrame, width: int) -> DataFrame:
 
 
 def _left_over(members: DataFrame, links: DataFrame, width: int) -> DataFrame:
-    """Texts of groups that hold several classes: ``key``, ``doc_id``, ``n``, whether a
-    text is ``open`` (outside the largest class of its group) and how many are."""
+    """Texts of groups that hold several classes: ``key``, ``doc_id``, ``n``, ``component``, whether
+    a text is ``open`` (outside the largest class of its group) and how many are."""
     large = members.where(F.col("n") > width)
     found = components(links.select("a", "b")).withColumnRenamed("node", "doc_id")
     placed = cut_shuffled(large.join(found, "doc_id", "left").withColumn(
@@ -208,11 +208,13 @@ def _left_over(members: DataFrame, links: DataFrame, width: int) -> DataFrame:
         F.max_by("component", F.col("size").cast("decimal(38,0)") * (1 << 62) - F.col("component")).alias("main")))
     mixed_groups = largest.where("size < all").select("key", "main", (F.col("all") - F.col("size")).alias("n_open"))
     return cut_shuffled(placed.join(mixed_groups, "key").select(
-        "key", "doc_id", "n", "n_open", (F.col("component") != F.col("main")).alias("open")))
+        "key", "doc_id", "n", "n_open", "component", (F.col("component") != F.col("main")).alias("open")))
 
 
 def _compared_in_blocks(rows: DataFrame, texts: DataFrame, weights: np.ndarray, least: float) -> DataFrame:
-    """Links of open texts with their most similar partner in every block of their groups."""
+    """Links of open texts with their most similar partner of every other class in every
+    block of their groups.  Texts that are not open are of one class, so one pass joins
+    all classes of a group that have similar texts."""
     def blocks(count: str):
         return F.ceil(F.col(count) / BLOCK).cast("int")
 
@@ -223,13 +225,14 @@ def _compared_in_blocks(rows: DataFrame, texts: DataFrame, weights: np.ndarray,
     rows = rows.join(texts, "doc_id")
     asked = rows.where("open").withColumn("row", own("n_open").cast("int")).withColumn("column", every("n"))
     given = rows.withColumn("column", own("n").cast("int")).withColumn("row", every("n_open"))
-    fields = ["key", "row", "column", "doc_id", "text"]
+    fields = ["key", "row", "column", "doc_id", "component", "text"]
     cells = asked.select(*fields, F.lit(True).alias("asks")).unionByName(given.select(*fields, F.lit(False).alias("asks")))
 
     def compared(cell: pa.Table) -> pa.Table:
         cell = cell.combine_chunks()
         values, counts, first = shingles_of(cell.column("text").combine_chunks())
         ids, asks = cell.column("doc_id").to_numpy(), cell.column("asks").to_numpy()
+        component = cell.column("component").to_numpy()
         distinct, place = np.unique(values, return_inverse=True)
         doc = np.repeat(np.arange(len(ids)), np.diff(first))
         weight = weights[bucket_of(values)]
@@ -240,11 +243,11 @@ def _compared_in_blocks(rows: DataFrame, texts: DataFrame, weights: np.ndarray,
             held[place[span]] = counts[span]
             both = np.bincount(doc, weights=np.minimum(held[place], counts) * weight, minlength=len(ids))
             held[place[span]] = 0
-            alike = np.where(asks | (ids == ids[n]), 0.0, both / np.maximum(total + total[n] - both, 1e-300))
-            best = alike.max()
-            if best >= least:
-                partner = ids[alike == best].min()
-                out.append((min(ids[n], partner), max(ids[n], partner), best))
+            alike = np.where(asks | (component == component[n]), 0.0, both / np.maximum(total + total[n] - both, 1e-300))
+            good = np.flatnonzero(alike >= least)
+            good = good[np.lexsort((ids[good], -alike[good], component[good]))]
+            for m in good[np.append(True, np.diff(component[good]) != 0)[:len(good)]]:
+                out.append((min(ids[n], ids[m]), max(ids[n], ids[m]), alike[m]))
         columns = list(zip(*out)) or [[], [], []]
         kinds = (pa.int64(), pa.int64(), pa.float64())
         return pa.table([pa.array(column, kind) for column, kind in zip(columns, kinds)], names=["a", "b", "similarity"])

@@ -93,6 +93,23 @@ def test_near_classes_equal_brute_force(spark):
     assert kept.where("doc_id is null").count() == 2
 
 
+def test_families_that_leaders_do_not_bridge_are_joined(spark, monkeypatch):
+    base, places = prose(5, 200), {30, 90, 150}
+    rows = [(1 + n, changed(base, {10 + 7 * n} if n else set())) for n in range(10)]
+    rows += [(101 + n, changed(base, places | ({110 + 7 * n} if n else set()))) for n in range(5)]
+    docs, texts = frame(spark, rows), dict(rows)
+    weights, ids = near_dedup.rarity(spark, docs), sorted(texts)
+    values, counts, first = near_dedup.shingles_of(pa.array([texts[doc_id] for doc_id in ids], pa.string()))
+    sets = {doc_id: (values[a:b], counts[a:b]) for doc_id, a, b in zip(ids, first[:-1], first[1:])}
+    alike = lambda a, b: near_dedup.similarity(sets[a], sets[b], weights)
+    # Every text of the smaller family is closer to one of its own than to any of the larger.
+    assert all(max(alike(x, y) for y in ids[10:] if y != x) > max(alike(x, y) for y in ids[:10]) for x in ids[10:])
+    assert alike(101, 1) >= near_dedup.SIMILARITY
+    own = [(a, b) for a in ids for b in ids if a < b and (a < 100) == (b < 100)]
+    monkeypatch.setattr(near_dedup, "_paired_with_leaders", lambda *_: spark.createDataFrame(own, "a long, b long"))
+    assert {row["class_id"] for row in near_dedup.near_classes(docs).collect()} == {1}
+
+
 def test_near_classes_of_empty_tables(spark):
     assert near_dedup.near_classes(frame(spark, [])).count() == 0
     assert near_dedup.near_classes(frame(spark, [(1, None), (2, "")])).collect() == [] or all(
