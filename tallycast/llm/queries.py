@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast.llm import (
-    byte_bpe, compression_quality, language_id, line_dedup, mixing, near_dedup, passages, quality_rules,
-    secret_scan, vector_dedup)
+    byte_bpe, compression_quality, fill_middle, language_id, lexical_search, line_dedup, mixing, near_dedup, passages,
+    quality_rules, secret_scan, toxicity, vector_dedup)
 from tallycast.llm.native import crc_share
 
 
@@ -106,9 +106,33 @@ def op10_secret_ledger(spark: SparkSession, sf: str) -> DataFrame:
         secret_scan.span_text("findings", tuple(range(len(secret_scan.RULES)))).alias("spans"))
 
 
+def op11_fill_middle(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text arranged for filling in the middle, and rebuilt from that, as digests."""
+    rows = fill_middle.transform(documents(spark, sf).select("doc_id", "text"))
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"))
+
+
+def op12_subword_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity score of every document; a fifth of the ids is held out of fitting."""
+    docs = documents(spark, sf).select("doc_id", "text")
+    held_out = crc_share(F.col("doc_id"), 5, 0)
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where(~held_out)
+    model = toxicity.fit(docs, labels.select("doc_id", F.col("toxic").alias("label")))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def op13_lemp_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
 QUERIES = {query.__name__: query for query in (
     op1_collinear_passages, op2_line_windows, op3_compression_quality, op4_byte_bpe, op5_rule_ledger,
-    op6_weighted_minhash, op7_string_kernel, op8_mixture, op9_cross_polytope, op10_secret_ledger)}
+    op6_weighted_minhash, op7_string_kernel, op8_mixture, op9_cross_polytope, op10_secret_ledger,
+    op11_fill_middle, op12_subword_toxicity, op13_lemp_search)}
 
 LINES_SQL = """
 WITH cut AS (
@@ -197,8 +221,70 @@ GROUP BY c.row, c.doc_id
 """
 
 
+MIDDLE_SQL = """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+),
+drawn AS (
+  SELECT doc_id, t, n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS a,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS b, CAST('0x' || substr(h, 17, 8) AS BIGINT) AS c,
+         CAST('0x' || substr(h, 25, 8) AS BIGINT) AS d FROM cut
+),
+formed AS (
+  SELECT doc_id, t, n, least(a, b) AS lo, greatest(a, b) AS hi,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c % 100 >= 90 THEN 'plain'
+              WHEN d % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+),
+parts AS (
+  SELECT *, substring(t, 1, lo) AS p, substring(t, lo + 1, hi - lo) AS m, substring(t, hi + 1, n - hi) AS s FROM formed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN lo END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN hi - lo END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+SEARCH_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+),
+totals AS (
+  SELECT count(*) AS d, CAST(sum(len(terms)) AS BIGINT) AS l FROM docs WHERE len(terms) > 0
+),
+counted AS (
+  SELECT row, doc_id, n, term, count(*) AS tf
+  FROM (SELECT row, doc_id, CAST(len(terms) AS BIGINT) AS n, unnest(terms) AS term FROM docs) GROUP BY ALL
+),
+weighted AS (
+  SELECT term, CAST(floor(1000 * ln((2 * d + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM counted GROUP BY 1), totals
+),
+asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL
+),
+scored AS (
+  SELECT a.item_id, c.row, c.doc_id, CAST(sum(
+    a.times * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * (25 + (75 * c.n * t.d) // t.l)))) AS BIGINT) AS score
+  FROM asked a JOIN counted c ON a.term = c.term JOIN weighted w ON a.term = w.term, totals t GROUP BY 1, 2, 3
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM scored WHERE score > 0) WHERE rank <= 10
+"""
+
+
 ORACLE = {
     "op2_line_windows": LINES_SQL,
     "op5_rule_ledger": RULES_SQL,
     "op10_secret_ledger": _secrets_sql(),
+    "op11_fill_middle": MIDDLE_SQL,
+    "op13_lemp_search": SEARCH_SQL,
 }

@@ -52,7 +52,7 @@ class Words:
         return count[places] - count[self.origin[rows]]
 
 
-def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, outside: np.ndarray) -> np.ndarray:
     out = np.empty(len(start), dtype=np.uint64)
     lo = 0
     while lo < len(start):
@@ -61,15 +61,16 @@ def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         block = data[start[lo]:end[hi - 1]]
         place = np.arange(len(block)) - np.repeat(a, np.diff(np.append(a, len(block))))
         terms = (block.astype(np.uint64) + np.uint64(1)) * powers(int(place.max()) + 1)[place]
-        terms[_SPACE[block]] = 0
+        terms[outside[block]] = 0
         # Words of one row may touch the next row's first word, so sums go by start.
         out[lo:hi] = np.add.reduceat(terms, a)
         lo = hi
     return mixed(out)
 
 
-def words_of(column: pa.Array) -> Words:
-    """Words of a string column; null and blank texts have none."""
+def words_of(column: pa.Array, outside: np.ndarray = _SPACE, folded: np.ndarray | None = None) -> Words:
+    """Words of a string column; null and blank texts have none.  ``outside`` marks
+    the bytes that belong to no word, ``folded`` gives what each byte counts as."""
     if column.type != pa.string():
         column = column.cast(pa.string())
     if not len(column):
@@ -79,7 +80,9 @@ def words_of(column: pa.Array) -> Words:
     bounds = np.frombuffer(offsets, dtype=np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(values or b"", dtype=np.uint8)[bounds[0]:bounds[-1]]
     bounds = bounds - bounds[0]
-    inside = ~_SPACE[data]
+    if folded is not None:
+        data = folded[data]
+    inside = ~outside[data]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
     heads = bounds[:-1][bounds[:-1] < len(data)]
@@ -89,7 +92,7 @@ def words_of(column: pa.Array) -> Words:
     tails = bounds[1:][bounds[1:] > 0] - 1
     closes[tails] = inside[tails]
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    return Words(data, bounds, start, end, _hashes(data, start, end), np.searchsorted(start, bounds))
+    return Words(data, bounds, start, end, _hashes(data, start, end, outside), np.searchsorted(start, bounds))
 
 
 def row_slices(batch: pa.RecordBatch, column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
