@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
-from pyspark.ml import Model
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycast import constants
 from tallycast.functions.scalars import ratio
+from tallycast.models.forest import Forest, matrices, with_attribution
 from tallycast.operators.ranking import ranked, top_rows
 from tallycast.operators.reshape import to_wide
 
@@ -18,7 +21,7 @@ ROWS_PER_BUCKET = 1000
 
 
 def permutation_importance(
-    model: Model, rows: DataFrame, features: Sequence[str], *, keys: Sequence[str],
+    forest: Forest, rows: DataFrame, features: Sequence[str], *, keys: Sequence[str],
     buckets: int | None = None, seed: int = constants.SEED,
 ) -> DataFrame:
     """Rise of the MAE when one feature is shuffled (feature, importance, not below 0).
@@ -26,45 +29,41 @@ def permutation_importance(
     Rows get a random bucket of about ROWS_PER_BUCKET rows and a random order in it; each takes the feature
     values of the next row of its bucket, the last those of the first.  Every
     value is used exactly once and no bucket grows with a key's frequency,
-    because the random order depends on the whole row key.
+    because the random order depends on the whole row key.  Each task scores its
+    rows once per feature and sends one sum for each.
     """
     if buckets is None:
         buckets = max(1, rows.count() // ROWS_PER_BUCKET)
     mixed = rows.select(
-        "features", "label",
-        F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(buckets)).alias("bucket"),
-        F.xxhash64(*keys, F.lit(seed + 1)).alias("place"),
-        F.struct(*keys).alias("key"))
+        "label", F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(buckets)).alias("bucket"),
+        F.xxhash64(*keys, F.lit(seed + 1)).alias("place"), F.struct(*keys).alias("key"),
+        vector_to_array("features").alias("own"))
     order = Window.partitionBy("bucket").orderBy("place", "key")
-    everything = Window.partitionBy("bucket").orderBy("place", "key").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    values = vector_to_array("features")
-    paired = mixed.withColumn("own", values).withColumn(
-        "other", F.coalesce(F.lead("own").over(order), F.first("own").over(everything)))
-    # Position -1 leaves the row as it is and gives the error to compare with.
-    trials = paired.select(
-        "label", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))).alias("position"),
-        "own", "other")
-    changed = F.transform("own", lambda value, i: F.when(
-        i == F.col("position"), F.element_at("other", F.col("position") + 1)).otherwise(value))
-    safe = F.when(F.col("position") < 0, F.col("own")).otherwise(changed)
-    scored = model.transform(trials.select(
-        "label", "position", array_to_vector(safe).alias("features")))
-    errors = scored.groupBy("position").agg(
-        F.avg(F.abs(F.col("label") - F.col("prediction"))).alias("mae"))
-    plain = errors.where(F.col("position") < 0).select("mae").scalar()
-    names = F.array(*[F.lit(name) for name in features])
-    return errors.where(F.col("position") >= 0).select(
-        F.get(names, F.col("position")).alias("feature"),
-        F.greatest(F.col("mae") - plain, F.lit(0.0)).alias("importance"))
-
-
-def tree_importance(model: Model, rows: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Split gains of a fitted tree model: cheap, without another pass over rows."""
-    gains = model.featureImportances
-    return rows.sparkSession.createDataFrame(
-        [(name, float(gains[i])) for i, name in enumerate(features)],
-        "feature string, importance double")
+    paired = mixed.select("label", "own", F.coalesce(
+        F.lead("own").over(order),
+        F.first("own").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("other"))
+    names = list(features)
+
+    def errors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals, count = np.zeros(len(names) + 1), 0
+        for batch in batches:
+            for part, own in matrices(batch, "own", len(names)):
+                label = part.column("label").to_numpy(zero_copy_only=False)
+                other = part.column("other").flatten().to_numpy(zero_copy_only=False).reshape(own.shape)
+                count += len(label)
+                totals[-1] += np.abs(label - forest.predict(own)).sum()
+                changed = own.copy()
+                for place in range(len(names)):
+                    changed[:, place] = other[:, place]
+                    totals[place] += np.abs(label - forest.predict(changed)).sum()
+                    changed[:, place] = own[:, place]
+        yield pa.RecordBatch.from_pydict({
+            "feature": names, "total": totals[:-1], "plain": np.full(len(names), totals[-1]),
+            "n": np.full(len(names), count)})
+
+    sums = paired.mapInArrow(errors, "feature string, total double, plain double, n long").groupBy("feature").agg(
+        *[F.sum(name).alias(name) for name in ("total", "plain", "n")])
+    return sums.select("feature", F.greatest(ratio(F.col("total") - F.col("plain"), F.col("n")), F.lit(0.0)).alias("importance"))
 
 
 def importance_shares(importance: DataFrame) -> DataFrame:
@@ -103,24 +102,42 @@ def keep_top(combined: DataFrame, n: int) -> list[str]:
 
 
 def dependence(
-    df: DataFrame, attributions: Mapping[str, Column], *, cells: int = 20
+    df: DataFrame, attributions: Mapping[str, Column], *, cells: int = 20, accuracy: int = 100_000,
 ) -> DataFrame:
-    """Attribution against feature value, over equally wide cells of each feature.
+    """Attribution against feature value, over cells of about equally many rows.
 
-    One pass finds the ranges, a second one aggregates; nothing is sorted.
+    One pass finds the edges of all features with mergeable summaries, exact up to
+    ``accuracy`` rows and within rows / accuracy beyond; a second one aggregates.  A
+    cell ends at its edge, so equal values share a cell, and features with few values
+    have fewer cells.
     """
     names = list(attributions)
-    spans = df.agg(F.struct(*[
-        F.struct(F.min(name).cast("double").alias("lo"), F.max(name).cast("double").alias("hi")).alias(name)
+    shares = [k / cells for k in range(1, cells)]
+    edges = df.agg(F.struct(*[
+        F.array_distinct(F.percentile_approx(F.col(name).cast("double"), shares, accuracy)).alias(name)
         for name in names])).scalar()
     entries = []
     for name in names:
-        value, lo, hi = F.col(name).cast("double"), spans[name]["lo"], spans[name]["hi"]
-        cell = F.least(F.floor(ratio(value - lo, hi - lo) * cells), F.lit(cells - 1))
+        value = F.col(name).cast("double")
+        # How many edges lie below the value; equal edges were made one.
+        cell = reduce(lambda count, k: count + F.coalesce((F.get(edges[name], F.lit(k)) < value).cast("int"), F.lit(0)),
+                      range(cells - 1), F.lit(0))
         entries.append(F.struct(
-            F.lit(name).alias("feature"), F.coalesce(cell, F.lit(0)).cast("int").alias("cell"),
-            value.alias("value"), attributions[name].alias("attribution")))
+            F.lit(name).alias("feature"), cell.alias("cell"), value.alias("value"),
+            attributions[name].alias("attribution")))
     long = df.select(F.inline(F.array(*entries)))
     return long.where(F.col("value").isNotNull()).groupBy("feature", "cell").agg(
         F.avg("value").alias("value"), F.avg("attribution").alias("attribution"),
         F.count(F.lit(1)).alias("n"))
+
+
+def tree_dependence(
+    forest: Forest, rows: DataFrame, features: Sequence[str], shown: Sequence[str], *, cells: int = 20,
+) -> DataFrame:
+    """``dependence`` of a forest on some of its features; ``rows`` has ``features``."""
+    explained = with_attribution(forest, rows.withColumn("x", vector_to_array("features")), ["x"])
+    places = {name: list(features).index(name) for name in shown}
+    wide = explained.select(
+        *[F.get("x", F.lit(k)).alias(name) for name, k in places.items()],
+        *[F.get("attribution", F.lit(k)).alias(f"of_{name}") for name, k in places.items()])
+    return dependence(wide, {name: F.col(f"of_{name}") for name in shown}, cells=cells)

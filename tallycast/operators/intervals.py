@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycast import constants
 from tallycast.functions.scalars import flag
 
+BLOCK_DAYS = 256
+VALUE_DIGITS = 8
+
 
 def active_by_day(
     days: DataFrame,
@@ -23,34 +26,50 @@ def active_by_day(
 ) -> DataFrame:
     """Number of active intervals, their value sum and category flags per day.
 
-    Both ends are inclusive.  Intervals are clipped to the days asked for and
-    summed per (start, end) first, which leaves at most one row per pair of
-    days however many intervals there are; only those are opened into days.
+    Both ends are inclusive.  An interval, clipped to the days asked for, adds one
+    at its first day and takes it back on the day after its last; these changes are
+    summed per day, which leaves at most two rows for every calendar day however many and
+    however long the intervals are, and run up over the calendar.  Values are summed
+    as decimals with ``VALUE_DIGITS`` digits, so that what was added is taken back
+    exactly.
     """
     asked = days.agg(F.struct(F.min("Date").alias("first"), F.max("Date").alias("last"))).scalar()
+    changes = {"n_active_promos": F.lit(1), "sum_discount_active": F.col(value).cast(f"decimal(28,{VALUE_DIGITS})"),
+               **{out: flag(F.col(category) == name) for name, out in category_flags.items()}}
     clipped = intervals.where(F.col(start) <= F.col(end)).select(
-        F.greatest(F.col(start), asked["first"]).alias("lo"),
-        F.least(F.col(end), asked["last"]).alias("hi"),
-        F.col(value).alias("value"),
-        *[flag(F.col(category) == name).alias(out) for name, out in category_flags.items()],
-    ).where(F.col("lo") <= F.col("hi"))
-    packed = clipped.groupBy("lo", "hi").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("value").alias("value"),
-        *[F.max(out).alias(out) for out in category_flags.values()],
-    )
-    opened = packed.withColumn(
-        "Date", F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))))
-    per_day = opened.groupBy("Date").agg(
-        F.sum("n").alias("n_active_promos"),
-        F.sum("value").alias("sum_discount_active"),
-        *[F.max(out).alias(out) for out in category_flags.values()],
-    )
-    return days.join(per_day, "Date", "left").withColumns({
+        F.greatest(F.col(start), asked["first"]).alias("lo"), F.least(F.col(end), asked["last"]).alias("hi"),
+        *[F.coalesce(change, F.lit(0)).alias(name) for name, change in changes.items()]).where("lo <= hi")
+    # Intervals of the same days are one before they become two changes.
+    packed = clipped.groupBy("lo", "hi").agg(*[F.sum(name).alias(name) for name in changes])
+    opened = packed.select(F.inline(F.array(
+        F.struct(F.col("lo").alias("Date"), *changes),
+        F.struct(F.date_add("hi", 1).alias("Date"), *[(-F.col(name)).alias(name) for name in changes]))))
+    per_day = running_totals(opened.groupBy("Date").agg(*[F.sum(name).alias(name) for name in changes]), list(changes), days)
+    found = days.join(per_day, "Date", "left")
+    return found.withColumns({
         "n_active_promos": F.coalesce("n_active_promos", F.lit(0)).cast("int"),
-        "sum_discount_active": F.coalesce("sum_discount_active", F.lit(0.0)),
-        **{out: F.coalesce(out, F.lit(0)) for out in category_flags.values()},
-    })
+        "sum_discount_active": F.coalesce(F.col("sum_discount_active").cast("double"), F.lit(0.0)),
+        **{out: flag(F.col(out) > 0) for out in category_flags.values()}})
+
+
+def running_totals(changes: DataFrame, names: Sequence[str], days: DataFrame) -> DataFrame:
+    """Sums of all changes up to each of the asked days (columns ``Date`` and names).
+
+    The calendar is cut into blocks of ``BLOCK_DAYS``; days run up within a block, and
+    the sum of a block is handed to every later one (one row per pair of blocks).
+    """
+    block = F.floor(F.datediff("Date", F.lit("1970-01-01")) / BLOCK_DAYS)
+    rows = days.select("Date").distinct().withColumns({name: F.lit(0) for name in names}).unionByName(
+        changes).groupBy("Date").agg(*[F.sum(name).alias(name) for name in names]).withColumn("block", block)
+    within = Window.partitionBy("block").orderBy("Date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = rows.select("Date", "block", *[F.sum(name).over(within).alias(name) for name in names])
+    sums = rows.groupBy("block").agg(*[F.sum(name).alias(name) for name in names])
+    last = sums.agg(F.max("block")).scalar()
+    later = sums.where(F.col("block") < last).withColumn(
+        "block", F.explode(F.sequence(F.col("block") + 1, last))).groupBy("block").agg(
+            *[F.sum(name).alias(f"before_{name}") for name in names])
+    return run.join(later, "block", "left").select(
+        "Date", *[(F.col(name) + F.coalesce(f"before_{name}", F.lit(0))).alias(name) for name in names])
 
 
 def nearest_event_offset(

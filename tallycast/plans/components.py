@@ -46,16 +46,12 @@ def component_forecast(
     """
     by_day = [*keys, "Date"]
     ahead = cut_lineage(as_vectors(future, features, by_day))
-    product = None
-    for component in ("n_orders", "aov"):
-        labelled = history.withColumns({
-            "label": to_log(F.col(component)),
-            "weight": stable_year_weight(F.col("Date"), stable_years),
-        })
-        rows = training_rows(as_vectors(labelled, features, [*by_day, "label", "weight"]))
-        part = predict_over_seeds(specs, rows, ahead, by_day, after=after, seeds=seeds)
-        part = part.withColumnRenamed("yhat", component)
-        product = part if product is None else product.join(part, by_day)
+    labels = {f"label_{component}": to_log(F.col(component)) for component in ("n_orders", "aov")}
+    labelled = history.withColumns(labels | {"weight": stable_year_weight(F.col("Date"), stable_years)})
+    table = training_rows(as_vectors(labelled, features, [*by_day, *labels, "weight"]), labels=list(labels))
+    parts = predict_over_seeds(specs, table, ahead, by_day, after=after, seeds=seeds, labels=list(labels))
+    product = parts["label_n_orders"].withColumnRenamed("yhat", "n_orders").join(
+        parts["label_aov"].withColumnRenamed("yhat", "aov"), by_day)
     revenue = product.select(*by_day, (F.col("n_orders") * F.col("aov")).alias("Revenue"))
     anchored = anchor_to_mean(revenue, {"Revenue": anchor}, keys=keys)
     return cogs_from_ratio(anchored, cogs_ratios, keys=keys)

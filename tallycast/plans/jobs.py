@@ -11,18 +11,18 @@ import datetime as dt
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast import constants
 from tallycast.functions.scalars import to_log
-from tallycast.models import boosted, importance, search
+from tallycast.models import boosted, forest, importance, search
 from tallycast.models.ridge import as_vectors
 from tallycast.operators.dynamic import dynamic_names
 from tallycast.operators.features import attach_days, build_features, feature_names, lunar_aligned_lag
 from tallycast.operators.panel import cogs_ratio, daily_components
-from tallycast.operators.reshape import stack
 from tallycast.operators.weights import stable_year_weight
 from tallycast.plans import (
     components, diagnostics, questions, recursive, seasonal, training, variants,
@@ -179,10 +179,11 @@ def _write_one(forecast: DataFrame, path: str) -> None:
 
 
 def _labelled(data: Prepared, names: Sequence[str], target: str, period: Period) -> DataFrame:
+    """Feature vectors with the log target and the row weights, written once."""
     rows = data.history.withColumns({
         "label": to_log(F.col(target)),
         "weight": stable_year_weight(F.col("Date"), period.stable_years)})
-    return boosted.training_rows(as_vectors(rows, names, [*BY_DAY, "label", "weight"]))
+    return cut_lineage(as_vectors(rows, names, [*BY_DAY, "label", "weight"]))
 
 
 def explain(
@@ -190,18 +191,18 @@ def explain(
     specs: Sequence[boosted.TreeSpec] = (boosted.DEFAULT_SPECS[0], boosted.DEFAULT_SPECS[2]),
     targets: Sequence[str] = constants.TARGETS, report_rows: int = 15,
 ) -> DataFrame:
-    """Importance of every feature per target and booster; writes the combined table
-    and returns its top rows with their meaning."""
+    """Mean absolute attribution of every feature per target and booster; writes the
+    combined table and returns its top rows with their meaning."""
     data = prepare(spark, folder, period)
-    tables = {}
-    for target in targets:
-        rows = _labelled(data, data.features, target, period)
-        for spec in specs:
-            model = boosted.fit_with_holdout(spec, rows, after=period.holdout_after).full
-            tables[f"{target}_{spec.name}"] = importance.permutation_importance(
-                model, rows, data.features, keys=BY_DAY)
-    long = cut_lineage(stack(tables, "model"))
-    combined = importance.combined_importance(long, list(tables))
+    rows = {target: _labelled(data, data.features, target, period) for target in targets}
+    cases = [(target, spec) for target in targets for spec in specs]
+    fitted = [one.full for own in rows.values() for one in boosted.fit_cases(
+        boosted.training_rows(own), [boosted.Case(spec, after=period.holdout_after) for spec in specs])]
+    names = [f"{target}_{spec.name}" for target, spec in cases]
+    parts = [forest.tree_attribution(rows[target], {
+        name: model for name, (own, _), model in zip(names, cases, fitted) if own == target}, data.features)
+        for target in targets]
+    combined = importance.combined_importance(cut_lineage(reduce(DataFrame.unionByName, parts)), names)
     sinks.write_importance(combined, f"{out}/importance")
     return importance.ranked_with_meaning(
         sinks.read_importance(spark, f"{out}/importance"),
@@ -218,7 +219,7 @@ def tune(
     found = None
     for target in targets:
         part = search.search(
-            _labelled(data, data.features, target, period), specs, target=target,
+            boosted.training_rows(_labelled(data, data.features, target, period)), specs, target=target,
             after=period.holdout_after, trials=trials, spaces=spaces)
         found = part if found is None else found.unionByName(part)
     best = search.best_trials(found)

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tallycast import constants
 from tallycast.functions.scalars import at_least, from_log, to_log
+from tallycast.models.boosted import TreeSpec, fit_with_holdout, training_rows
+from tallycast.models.forest import NamedForest
 from tallycast.models.recursive import recursive_forecast
-from tallycast.models.ridge import RidgeModel, fit_ridge
+from tallycast.models.ridge import RidgeModel, as_vectors, fit_ridge
 from tallycast.operators import blend, metrics
 from tallycast.operators.dynamic import dynamic_names, with_dynamic_features
 from tallycast.operators.features import attach_days
@@ -30,6 +32,14 @@ def training_frame(
     return attach_days(warm, calendar).withColumn("label", to_log(F.col(target)))
 
 
+def fit_trees(
+    frame: DataFrame, features: Sequence[str], spec: TreeSpec, *, keys: Sequence[str], after: dt.date,
+) -> NamedForest:
+    """A forest on calendar and past values; the hold-out decides its size."""
+    vectors = as_vectors(frame, features, [*keys, "Date", "label", "weight"])
+    return NamedForest(tuple(features), fit_with_holdout(spec, training_rows(vectors), after=after).full)
+
+
 def holdout_scores(
     frame: DataFrame, features: Sequence[str], target: str, *, after: dt.date
 ) -> DataFrame:
@@ -51,15 +61,19 @@ def recursive_plan(
     keys: Sequence[str],
     warmup_end: dt.date,
     anchors: Mapping[str, float] = constants.RECURSIVE_ANCHOR,
-) -> tuple[DataFrame, dict[str, RidgeModel]]:
-    """Anchored and capped Revenue and COGS forecasts, and the fitted models."""
+    trees: TreeSpec | None = None,
+    after: dt.date = constants.HOLDOUT_AFTER,
+) -> tuple[DataFrame, dict[str, RidgeModel | NamedForest]]:
+    """Anchored and capped Revenue and COGS forecasts, and the fitted models: ridge, or
+    forests whose size the rows after ``after`` decide."""
     by_day = [*keys, "Date"]
     result, models = None, {}
     for target in anchors:
         features = [*calendar_features, *dynamic_names(target)]
         frame = cut_lineage(training_frame(
             panel, calendar, target, keys=keys, warmup_end=warmup_end))
-        models[target] = fit_ridge(frame, features, "label", weight="weight")
+        models[target] = fit_ridge(frame, features, "label", weight="weight") if trees is None else fit_trees(
+            frame, features, trees, keys=keys, after=after)
         part = recursive_forecast(panel, future_calendar, models[target], target, keys=keys)
         result = part if result is None else result.join(part, by_day)
     anchored = blend.anchor_to_mean(cut_lineage(result), anchors, keys=keys)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("business", "series", "features", "forecasts", "models")
+_MODULES = ("business", "series", "features", "forecasts", "models", "trees", "files")
 
 
 def _merged(attribute: str) -> dict:

@@ -45,6 +45,16 @@ panel AS (
          coalesce(d."COGS", 0.0) AS "COGS"
   FROM spine s LEFT JOIN daily d ON s.series = d.series AND s."Date" = d."Date"
 )"""
+# Daily orders, revenue and order value per segment.
+COMPONENTS_SQL = """
+o AS (SELECT c_mktsegment AS series, CAST(o_orderdate AS DATE) AS "Date", o_orderkey AS k
+      FROM orders JOIN customer ON o_custkey = c_custkey
+      WHERE o_orderstatus IS DISTINCT FROM 'P'),
+n AS (SELECT series, "Date", count(DISTINCT k) AS n_orders FROM o GROUP BY ALL),
+r AS (SELECT series, "Date", sum(l_extendedprice - coalesce(l_extendedprice * l_discount, 0)) AS rev_recon
+      FROM lineitem JOIN o ON l_orderkey = k GROUP BY ALL),
+comp AS (SELECT n.series, n."Date", n_orders, rev_recon, rev_recon / greatest(n_orders, 1) AS aov
+         FROM n JOIN r ON n.series = r.series AND n."Date" = r."Date")"""
 # Every day of the order calendar with its number of orders.
 DAYS_SQL = """
 counted AS (

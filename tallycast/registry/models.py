@@ -3,30 +3,28 @@ importance tables of a given linear model do."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tallycast import constants
 from tallycast.functions.scalars import from_log, to_log
-from tallycast.models import boosted, importance, recursive, ridge, search
+from tallycast.models import boosted, forest, importance, recursive, ridge, search
 from tallycast.operators import dynamic, features, metrics, panel as panels, reshape
 from tallycast.operators.weights import split_holdout, stable_year_weight
 from tallycast.plans import components as component_plan
 from tallycast.plans import recursive as recursive_plan
 from tallycast.plans import training, variants
 from tallycast.registry import driver
-from tallycast.registry.common import PANEL_SQL, rounded
+from tallycast.registry.common import DAILY_SQL, PANEL_SQL, rounded
 from tallycast.session import cut_lineage
 from tallycast.sources.dimensions import date_spine, feature_meanings
 from tallycast.sources.sinks import run_metadata
 
 KEYS = driver.KEYS
 BY_DAY = [*KEYS, "Date"]
-# Small boosters: the registered queries show the plans, not the best accuracy.
-SPECS = (
-    boosted.TreeSpec("squared", "squared", 0.2, 4, min_leaf=30, row_share=0.85, feature_share=0.75, rounds=10),
-    boosted.TreeSpec("absolute", "absolute", 0.3, 3, min_leaf=30, rounds=10),
-)
-SMALL = boosted.TreeSpec("absolute", "absolute", 0.4, 3, min_leaf=30, rounds=5)
+# The default boosters with longer steps and less patience than a full run has.
+SPECS = tuple(replace(spec, step=0.3, patience=5) for spec in boosted.DEFAULT_SPECS)
 
 
 def _calendar(df):
@@ -78,12 +76,12 @@ def ridge_trend(spark, sf):
 
 
 # A given model of log revenue, small enough for a recursive query.
+GIVEN_SLOPES = {
+    "Revenue_lag_1": 2e-7, "Revenue_lag_2": -1e-7, "Revenue_roll_mean_7": 1.5e-7, "Revenue_roll_std_7": 0.5e-7,
+    "Revenue_ewm_7": -2.5e-7, "is_weekend": 0.25}
 GIVEN = ridge.RidgeModel(
-    features=("Revenue_lag_1", "Revenue_lag_2", "is_weekend"),
-    means=dict.fromkeys(("Revenue_lag_1", "Revenue_lag_2", "is_weekend"), 0.0),
-    scales=dict.fromkeys(("Revenue_lag_1", "Revenue_lag_2", "is_weekend"), 1.0),
-    coefficients={"Revenue_lag_1": 2e-7, "Revenue_lag_2": -1e-7, "is_weekend": 0.25},
-    intercept=12.5)
+    features=tuple(GIVEN_SLOPES), means=dict.fromkeys(GIVEN_SLOPES, 0.0), scales=dict.fromkeys(GIVEN_SLOPES, 1.0),
+    coefficients=GIVEN_SLOPES, intercept=12.5)
 
 
 def recursive_given(spark, sf):
@@ -94,42 +92,45 @@ def recursive_given(spark, sf):
     days = date_spine(spark, driver.FORECAST_FIRST, driver.FORECAST_LAST).withColumn(
         "is_weekend", (F.weekday("Date") > 4).cast("int"))
     return rounded(recursive.recursive_forecast(
-        panel, days, GIVEN, "Revenue", keys=KEYS), 3, "Revenue")
+        panel, days, GIVEN, "Revenue", keys=KEYS), 2, "Revenue")
 
 
 def boosted_forecast(spark, sf):
-    """One booster whose size the hold-out decides, on future days."""
+    """One booster whose size the hold-out decides, on future days, with its rounds."""
     _, history, future, names, _, _ = _frames(spark, sf)
-    fitted = boosted.fit_with_holdout(SPECS[0], _labelled(history, names), after=driver.HOLDOUT_AFTER)
-    return boosted.predict(fitted.full, ridge.as_vectors(future, names, BY_DAY), BY_DAY)
+    fitted = boosted.fit_with_holdout(
+        SPECS[0], boosted.training_rows(_labelled(history, names)), after=driver.HOLDOUT_AFTER)
+    return boosted.predict(fitted.full, ridge.as_vectors(future, names, BY_DAY), BY_DAY).withColumns({
+        "rounds": F.lit(fitted.rounds), "stopped": F.lit(fitted.stopped)})
 
 
 def specialist_forecast(spark, sf):
-    """Quarterly specialists on future days."""
+    """Quarterly specialists on future days, with the rounds of each."""
     _, history, future, names, _, _ = _frames(spark, sf)
-    models = boosted.fit_specialists(SPECS[1], _labelled(history, names), after=driver.HOLDOUT_AFTER)
-    return boosted.predict_specialists(models, ridge.as_vectors(future, names, BY_DAY), BY_DAY)
+    models = boosted.fit_specialists(
+        SPECS[1], boosted.training_rows(_labelled(history, names)), after=driver.HOLDOUT_AFTER)
+    rounds = F.create_map(*[F.lit(one) for quarter, fitted in models.items() for one in (quarter, fitted.rounds)])
+    return boosted.predict_specialists(models, ridge.as_vectors(future, names, BY_DAY), BY_DAY).withColumn(
+        "rounds", rounds[F.quarter("Date")])
 
 
 def trained_variants(spark, sf):
     """The whole training pipeline: calibrated variants of the future days."""
     _, history, future, names, _, _ = _frames(spark, sf)
     run = training.train(
-        history, future, names, keys=KEYS, after=driver.HOLDOUT_AFTER, specs=[SMALL],
-        weights={"Revenue": {"absolute": 1.0}, "COGS": {"absolute": 1.0}},
-        stable_years=driver.STABLE_YEARS)
+        history, future, names, keys=KEYS, after=driver.HOLDOUT_AFTER, specs=SPECS, stable_years=driver.STABLE_YEARS)
     return variants.targets_wide(run.future_variants, keys=["variant", *BY_DAY])
 
 
 def component_forecast(spark, sf):
-    """Orders times order value, one booster with every seed."""
+    """Orders times order value, three boosters with every seed."""
     panel, history, future, names, _, _ = _frames(spark, sf)
     rows = cut_lineage(component_plan.with_components(
         history, driver.components(spark, sf), keys=KEYS))
     ratios = panels.cogs_ratio(panel.where(F.col("Revenue") > 0), keys=KEYS)
     return component_plan.component_forecast(
         rows, future, names, ratios, keys=KEYS, after=driver.HOLDOUT_AFTER,
-        specs=SPECS[1:], anchor=1_000_000.0, stable_years=driver.STABLE_YEARS)
+        specs=SPECS[:3], anchor=1_000_000.0, stable_years=driver.STABLE_YEARS)
 
 
 def recursive_forecast(spark, sf):
@@ -151,12 +152,24 @@ def recursive_scores(spark, sf):
         frame, [*names, *dynamic.dynamic_names("Revenue")], "Revenue", after=driver.HOLDOUT_AFTER)
 
 
+def recursive_trees(spark, sf):
+    """Day-by-day forecast of revenue by a forest on calendar and past values."""
+    panel, _, _, names, days, ahead = _frames(spark, sf)
+    aligned = cut_lineage(panels.densify(
+        panel, keys=KEYS, fill={"Revenue": 0.0, "COGS": 0.0}, until=driver.HISTORY_END))
+    model = recursive_plan.fit_trees(
+        recursive_plan.training_frame(aligned, days, "Revenue", keys=KEYS, warmup_end=driver.WARMUP_END),
+        [*names, *dynamic.dynamic_names("Revenue")], SPECS[1], keys=KEYS, after=driver.HOLDOUT_AFTER)
+    return recursive.recursive_forecast(aligned, ahead, model, "Revenue", keys=KEYS)
+
+
 def search_trials(spark, sf):
-    """Random parameter sets of two boosters with their hold-out scores."""
+    """Adaptive search over two boosters with their hold-out scores."""
     _, history, _, names, _, _ = _frames(spark, sf)
-    rows = _labelled(history, names)
+    table = boosted.training_rows(_labelled(history, names))
     trials = search.search(
-        rows, SPECS, target="Revenue", after=driver.HOLDOUT_AFTER, trials=4)
+        table, [replace(spec, rounds=20, patience=3) for spec in SPECS[:2]], target="Revenue", after=driver.HOLDOUT_AFTER,
+        trials=12)
     return trials.select("target", "model", "trial", "score")
 
 
@@ -164,10 +177,18 @@ def perm_importance(spark, sf):
     """Permutation importance over the whole history."""
     _, history, _, names, _, _ = _frames(spark, sf)
     rows = _labelled(history, names)
-    fitted = boosted.fit_with_holdout(SPECS[1], rows, after=driver.HOLDOUT_AFTER)
+    fitted = boosted.fit_with_holdout(SPECS[1], boosted.training_rows(rows), after=driver.HOLDOUT_AFTER)
     return importance.permutation_importance(fitted.full, rows, names, keys=BY_DAY)
 
 
+def forest_importance(spark, sf):
+    """Mean absolute attribution of every feature of a forest over the whole history."""
+    _, history, _, names, _, _ = _frames(spark, sf)
+    rows = _labelled(history, names)
+    fitted = boosted.fit_with_holdout(SPECS[1], boosted.training_rows(rows), after=driver.HOLDOUT_AFTER)
+    return forest.tree_attribution(rows, {"trees": fitted.full}, names)
+
+
 def ridge_importance(spark, sf):
     """Mean absolute attribution of every ridge feature."""
     _, history, _, names, _, _ = _frames(spark, sf)
@@ -248,7 +269,7 @@ def dependence_table(spark, sf):
 
 QUERIES = {fn.__name__: fn for fn in (
     ridge_forecast, ridge_trend, recursive_given, boosted_forecast, specialist_forecast, trained_variants, component_forecast,
-    recursive_forecast, recursive_scores, search_trials, perm_importance, ridge_importance,
+    recursive_forecast, recursive_trees, recursive_scores, search_trials, perm_importance, forest_importance, ridge_importance,
     run_record, line_attribution, importance_share, importance_wide, importance_top, top_features,
     dropped_features, dependence_table,
 )}
@@ -267,12 +288,13 @@ wide AS (SELECT feature, max(share) FILTER (model = 'model_a') AS model_a,
 
 def _dependence_sql() -> str:
     slopes = SLOPES["model_a"]
+    shares = ", ".join(str(k / 20) for k in range(1, 20))
     parts = [
         f"SELECT '{name}' AS feature, CAST({name} AS DOUBLE) AS v, {name} * {slope!r}::DOUBLE AS a, "
-        f"(SELECT min({name}) FROM lineitem)::DOUBLE AS lo, (SELECT max({name}) FROM lineitem)::DOUBLE AS hi FROM lineitem"
+        f"(SELECT list_distinct(quantile_disc({name}::DOUBLE, [{shares}])) FROM lineitem) AS edges FROM lineitem"
         for name, slope in slopes.items()]
     return "WITH x AS (" + " UNION ALL ".join(parts) + """)
-SELECT feature, CAST(least(floor((v - lo) / (hi - lo) * 20), 19) AS INTEGER) AS cell,
+SELECT feature, CAST(len(list_filter(edges, lambda e: e < v)) AS INTEGER) AS cell,
        round(avg(v), 6) AS value, round(avg(a), 6) AS attribution, count(*) AS n FROM x GROUP BY 1, 2"""
 
 
@@ -287,18 +309,26 @@ m AS (SELECT count(*) AS n, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, stddev_pop
 w AS (SELECT *, ((n + 3) * n * ca - n * r * n * cb) / ((n + 3) ** 2 - (n * r) ** 2) AS wa,
              ((n + 3) * n * cb - n * r * n * ca) / ((n + 3) ** 2 - (n * r) ** 2) AS wb FROM m)
 SELECT series, "Date", round(my + wa * (a - ma) / sa + wb * (b - mb) / sb, 6) AS yhat FROM x, w""",
-    "recursive_given": f"""WITH RECURSIVE {PANEL_SQL},
+    "recursive_given": f"""WITH RECURSIVE {DAILY_SQL},
+whole AS (
+  SELECT s.series, CAST(unnest(generate_series(s.first_day::TIMESTAMP, TIMESTAMP '{driver.HISTORY_END}', INTERVAL 1 DAY)) AS DATE) AS "Date"
+  FROM (SELECT series, min("Date") AS first_day FROM daily GROUP BY 1) s),
+full_days AS (
+  SELECT w.series, w."Date", coalesce(d."Revenue", 0) AS y,
+         row_number() OVER (PARTITION BY w.series ORDER BY w."Date" DESC) AS age, count(*) OVER (PARTITION BY w.series) AS n
+  FROM whole w LEFT JOIN daily d ON w.series = d.series AND w."Date" = d."Date"),
 walk AS (
-  SELECT s.series, DATE '2001-08-01' AS "Date",
-         coalesce((SELECT "Revenue" FROM daily d WHERE d.series = s.series AND d."Date" = DATE '2001-08-01'), 0) AS y,
-         coalesce((SELECT "Revenue" FROM daily d WHERE d.series = s.series AND d."Date" = DATE '2001-07-31'), 0) AS before
-  FROM (SELECT DISTINCT series FROM daily) s
+  SELECT series, DATE '{driver.HISTORY_END}' AS "Date", list(y ORDER BY age DESC) FILTER (age <= 7) AS tail,
+         sum(y * 0.75::DOUBLE ** (age - 1) * CASE WHEN age = n THEN 1 ELSE 0.25::DOUBLE END) AS ewm
+  FROM full_days GROUP BY series
   UNION ALL
-  SELECT series, CAST("Date" + 1 AS DATE),
-         greatest(exp(12.5::DOUBLE + 2e-7::DOUBLE * y - 1e-7::DOUBLE * before
-           + CASE WHEN isodow("Date" + 1) >= 6 THEN 0.25::DOUBLE ELSE 0 END) - 1, 0), y
-  FROM walk WHERE "Date" < DATE '{driver.FORECAST_LAST}')
-SELECT series, "Date", round(y, 3) AS "Revenue" FROM walk WHERE "Date" > DATE '2001-08-01'""",
+  SELECT series, day, list_append(tail[2:], v), v * 0.25::DOUBLE + ewm * 0.75::DOUBLE FROM (
+    SELECT series, CAST("Date" + 1 AS DATE) AS day, tail, ewm,
+           greatest(exp(12.5::DOUBLE + 2e-7::DOUBLE * tail[7] - 1e-7::DOUBLE * tail[6] + 1.5e-7::DOUBLE * list_avg(tail)
+             + 0.5e-7::DOUBLE * list_aggregate(tail, 'stddev_samp') - 2.5e-7::DOUBLE * ewm
+             + CASE WHEN isodow("Date" + 1) >= 6 THEN 0.25::DOUBLE ELSE 0 END) - 1, 0) AS v
+    FROM walk WHERE "Date" < DATE '{driver.FORECAST_LAST}'))
+SELECT series, "Date", round(tail[7], 2) AS "Revenue" FROM walk WHERE "Date" > DATE '{driver.HISTORY_END}'""",
     "line_attribution": f"{_IMP} SELECT model, feature, round(importance, 4) AS importance FROM imp",
     "importance_share": f"{_IMP} SELECT model, feature, round(share, 8) AS share FROM share",
     "importance_wide": f"""{_IMP} SELECT feature, round(model_a, 8) AS model_a, round(model_b, 8) AS model_b,

@@ -14,7 +14,7 @@ from tallycast.operators import panel, ranking, reshape
 from tallycast.operators.aggregates import condition_share
 from tallycast.plans import diagnostics
 from tallycast.registry import driver
-from tallycast.registry.common import DAILY_SQL, LUNAR_SQL, PANEL_SQL, rounded, rounded_off_ties
+from tallycast.registry.common import COMPONENTS_SQL, DAILY_SQL, LUNAR_SQL, PANEL_SQL, rounded, rounded_off_ties
 from tallycast.session import cut_lineage
 from tallycast.sources.dimensions import spine_of
 from tallycast.sources.tables import read_parquet_table
@@ -155,16 +155,6 @@ QUERIES = {fn.__name__: fn for fn in (
     order_sample,
 )}
 
-_COMPONENTS = """
-o AS (SELECT c_mktsegment AS series, CAST(o_orderdate AS DATE) AS "Date", o_orderkey AS k
-      FROM orders JOIN customer ON o_custkey = c_custkey
-      WHERE o_orderstatus IS DISTINCT FROM 'P'),
-n AS (SELECT series, "Date", count(DISTINCT k) AS n_orders FROM o GROUP BY ALL),
-r AS (SELECT series, "Date", sum(l_extendedprice - coalesce(l_extendedprice * l_discount, 0)) AS rev_recon
-      FROM lineitem JOIN o ON l_orderkey = k GROUP BY ALL),
-comp AS (SELECT n.series, n."Date", n_orders, rev_recon, rev_recon / greatest(n_orders, 1) AS aov
-         FROM n JOIN r ON n.series = r.series AND n."Date" = r."Date")"""
-
 ORACLE = {
     "scan_tables": """
 SELECT 'orders' AS table_name, count(*) AS n, CAST(min(o_orderdate) AS DATE) AS first_date,
@@ -175,7 +165,7 @@ UNION ALL SELECT 'events', count(*), CAST(min(ts) AS DATE), CAST(max(ts) AS DATE
 SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS "Date"
 FROM orders""",
     "daily_components": f"""
-WITH {_COMPONENTS}
+WITH {COMPONENTS_SQL}
 SELECT series, "Date", n_orders, round(rev_recon, 4) AS rev_recon, CAST(round(CAST(aov AS DECIMAL(38,8)), 4) AS DOUBLE) AS aov FROM comp""",
     "dense_panel": f"""
 WITH {PANEL_SQL}
@@ -240,7 +230,7 @@ FROM lineitem GROUP BY 1""",
 WITH {PANEL_SQL}, m AS (SELECT series, avg(ln(1 + "Revenue")) AS v FROM panel GROUP BY 1)
 SELECT series, round(v, 9) AS mean_log, round(exp(v) - 1, 3) AS typical FROM m""",
     "fill_median": f"""
-WITH {_COMPONENTS},
+WITH {COMPONENTS_SQL},
 spine AS (SELECT series, CAST(unnest(generate_series(min("Date")::TIMESTAMP, max("Date")::TIMESTAMP,
           INTERVAL 1 DAY)) AS DATE) AS "Date" FROM comp GROUP BY series),
 med AS (SELECT series, median(aov) AS m FROM comp GROUP BY series)

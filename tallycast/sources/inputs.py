@@ -11,26 +11,16 @@ from tallycast import constants
 from tallycast.sources.dimensions import literal_table
 
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Names below ``folder`` (not recursive) on any Hadoop file system."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [(status.getPath().getName(),) for status in fs.listStatus(hadoop_path)] if fs.exists(
-        hadoop_path) else []
-    if not found:
-        return spark.range(0).select(F.lit("").alias("file"))
-    return literal_table(spark, found, "file string")
-
-
 def missing_inputs(
     spark: SparkSession,
     folder: str,
     tables: Iterable[str] = constants.REQUIRED_TABLES,
     suffix: str = ".csv",
 ) -> DataFrame:
-    """Required files that are not in the folder."""
-    wanted = literal_table(spark, [(name + suffix,) for name in tables], "file string")
-    return wanted.join(list_files(spark, folder), "file", "left_anti")
+    """Required files that are not in the folder; every name is looked up on its own,
+    so that the folder may hold any number of others."""
+    absent = [(name + suffix,) for name in tables if not path_exists(spark, f"{folder}/{name}{suffix}")]
+    return literal_table(spark, absent, "file string") if absent else spark.createDataFrame([], "file string")
 
 
 def require_inputs(spark: SparkSession, folder: str, **options) -> None:

@@ -25,6 +25,21 @@ def read_csv_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
     )
 
 
+def unreadable_cells(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """Per column of a CSV table: cells with text that its type cannot hold (``unreadable``)
+    and all cells (``cells``).  Empty cells and NaN are missing, not unreadable."""
+    wanted = schema_of(table)
+    raw = spark.read.option("header", True).csv(f"{folder}/{table}.csv")
+    counts = []
+    for field in wanted:
+        value = F.trim(F.col(field.name))
+        typed = _typed(F.col(field.name), field.dataType.simpleString())
+        lost = typed.isNull() & (value != "") & (F.lower(value) != "nan")
+        counts.append(F.struct(F.lit(field.name).alias("column"), F.count_if(lost).alias("unreadable"),
+                               F.count(F.lit(1)).alias("cells")))
+    return raw.agg(F.array(*counts).alias("found")).select(F.inline("found"))
+
+
 def _typed(column, type_name: str):
     value = F.trim(column)
     if type_name == "date":

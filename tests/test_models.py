@@ -1,6 +1,9 @@
 """Fitted models against closed forms, brute force and simple properties."""
 
 import datetime as dt
+import itertools
+import math
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -9,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallycast import constants as C
 from tallycast.functions.scalars import to_log
-from tallycast.models import boosted, importance, ridge, search
+from tallycast.models import boosted, forest, importance, ridge, search
 from tallycast.models.recursive import recursive_forecast
 from tallycast.operators import features
 from tallycast.operators.dynamic import dynamic_names, with_dynamic_features
@@ -88,19 +91,25 @@ def test_weighted_ridge_equals_the_closed_form(history):
     np.testing.assert_allclose(merged.p, merged.want, atol=1e-8)
 
 
+def past_values(values, target):
+    """Past-value features of the next day from pandas on the whole series."""
+    s = pd.Series([*values, np.nan])
+    past, x = s.shift(1), {}
+    for lag in C.LAGS:
+        x[f"{target}_lag_{lag}"] = s.shift(lag).iloc[-1]
+    for width in C.ROLLING_WINDOWS:
+        roll = past.rolling(width, min_periods=max(2, width // 3))
+        x[f"{target}_roll_mean_{width}"], x[f"{target}_roll_std_{width}"] = roll.mean().iloc[-1], roll.std().iloc[-1]
+    for span in C.EWM_SPANS:
+        x[f"{target}_ewm_{span}"] = past.ewm(span=span, adjust=False, min_periods=3).mean().iloc[-1]
+    return x
+
+
 def brute_force_path(y, model, target, day_rows):
-    """One series, one day at a time, past-value features from pandas on the whole series."""
+    """One series, one day at a time."""
     values = list(y)
     for day in day_rows:
-        s = pd.Series([*values, np.nan])
-        past, x = s.shift(1), dict(day)
-        for lag in C.LAGS:
-            x[f"{target}_lag_{lag}"] = s.shift(lag).iloc[-1]
-        for width in C.ROLLING_WINDOWS:
-            roll = past.rolling(width, min_periods=max(2, width // 3))
-            x[f"{target}_roll_mean_{width}"], x[f"{target}_roll_std_{width}"] = roll.mean().iloc[-1], roll.std().iloc[-1]
-        for span in C.EWM_SPANS:
-            x[f"{target}_ewm_{span}"] = past.ewm(span=span, adjust=False, min_periods=3).mean().iloc[-1]
+        x = past_values(values, target) | dict(day)
         total = model.origin + sum(
             model.slopes[n] * (0.0 if pd.isna(x[n]) else float(x[n])) for n in model.features)
         values.append(max(np.expm1(total), 0.0))
@@ -129,41 +138,202 @@ def test_recursive_forecast_refuses_features_without_source(panel, days):
         recursive_forecast(panel, days, model, "Revenue", keys=["series"])
 
 
-SPEC = boosted.TreeSpec("absolute", "absolute", 0.4, 3, min_leaf=5, rounds=4)
+SPEC = boosted.TreeSpec("absolute", "quantile", 0.4, 3, min_leaf=5, rounds=4)
 
 
 @pytest.fixture(scope="module")
 def rows(history):
     labelled = history.withColumns({"label": to_log(F.col("Revenue")), "weight": F.lit(1.0)})
-    return boosted.training_rows(ridge.as_vectors(labelled, CALENDAR, ["series", "Date", "label", "weight"]))
+    return ridge.as_vectors(labelled, CALENDAR, ["series", "Date", "label", "weight"]).cache()
 
 
 def test_holdout_chooses_the_rounds_and_beats_the_mean(rows):
     one = rows.where("series = 'a'")
-    fitted = boosted.fit_with_holdout(SPEC, one, after=AFTER)
-    assert 1 <= fitted.rounds <= 4 and fitted.early.getNumTrees == fitted.full.getNumTrees == fitted.rounds
+    table = boosted.training_rows(one)
+    fitted = boosted.fit_with_holdout(SPEC, table, after=AFTER)
+    assert 1 <= fitted.rounds <= 4 and len(fitted.early.trees) == len(fitted.full.trees) == fitted.rounds
+    assert not fitted.stopped
     held = one.where(F.col("Date") > F.lit(AFTER))
     mean = one.where(F.col("Date") <= F.lit(AFTER)).agg(F.avg("label")).first()[0]
     base = held.agg(F.avg(F.abs(F.col("label") - mean))).first()[0]
     assert fitted.error < base
-    no_holdout = boosted.fit_with_holdout(SPEC, one, after=D(2030, 1, 1))
+    own = forest.with_prediction(fitted.early, held, ["label"]).agg(F.avg(F.abs(F.col("label") - F.col("prediction")))).first()[0]
+    assert own == pytest.approx(fitted.error, rel=1e-9)
+    no_holdout = boosted.fit_with_holdout(SPEC, table, after=D(2030, 1, 1))
     assert no_holdout.early is None and no_holdout.rounds == 4
 
 
+def test_patience_ends_a_fit_before_the_ceiling(rows):
+    spec = replace(SPEC, step=1.0, depth=5, rounds=200, patience=3)
+    fitted = boosted.fit_with_holdout(spec, boosted.training_rows(rows.where("series = 'a'")), after=AFTER)
+    assert fitted.stopped and len(fitted.errors) == fitted.rounds + 3 < 200
+    assert fitted.error == min(fitted.errors) and len(fitted.full.trees) == fitted.rounds
+
+
+def test_fits_side_by_side_are_those_of_single_runs(rows, monkeypatch):
+    monkeypatch.setattr(boosted, "CHUNK", 2)
+    table = boosted.training_rows(rows)
+    x = np.array([r.features.toArray() for r in rows.collect()])
+    cases = [
+        boosted.Case(replace(SPEC, rounds=5, patience=2, step=1.0), after=AFTER), boosted.Case(replace(SPEC, rounds=3)),
+        boosted.Case(boosted.TreeSpec("s", "squared", 0.5, 2, min_leaf=5, rounds=4, row_share=0.7, feature_share=0.5), quarter=2)]
+    together = boosted.fit_cases(table, cases)
+    for case, one in zip(cases, together):
+        alone = boosted.fit_cases(table, [case])[0]
+        assert (alone.rounds, alone.stopped) == (one.rounds, one.stopped)
+        np.testing.assert_allclose(alone.full.predict(x), one.full.predict(x), atol=1e-12)
+
+
+def test_squared_trees_are_those_of_an_exact_search(rows):
+    """One split of all rows against a search over every bin edge."""
+    table = boosted.training_rows(rows, bins=16)
+    pdf = rows.toPandas()
+    x, y = np.array([one.toArray() for one in pdf.features]), pdf.label.to_numpy()
+    model = boosted.boost(boosted.TreeSpec("s", "squared", 1.0, 1, min_leaf=20, rounds=1), table)
+    best = None
+    for k, edges in enumerate(table.edges):
+        for edge in edges:
+            low = x[:, k] <= edge
+            if min(low.sum(), (~low).sum()) >= 20:
+                loss = ((y[low] - y[low].mean()) ** 2).sum() + ((y[~low] - y[~low].mean()) ** 2).sum()
+                best = min(best or (loss, k, edge), (loss, k, edge))
+    tree = model.trees[0]
+    assert (tree.feature[0], tree.threshold[0]) == best[1:]
+    assert ((y - model.predict(x)) ** 2).sum() == pytest.approx(best[0])
+    assert tree.cover[0] == len(y) and tree.cover[1] + tree.cover[2] == len(y)
+
+
+@pytest.mark.parametrize("limit", [boosted.SORTED_ROWS, 0])
+def test_leaves_of_any_quantile_split_the_residuals(rows, limit, monkeypatch):
+    monkeypatch.setattr(boosted, "SORTED_ROWS", limit)
+    table, pdf = boosted.training_rows(rows), rows.toPandas()
+    x = np.array([one.toArray() for one in pdf.features])
+    shares = (0.25, 0.5, 0.9)
+    fits = boosted.fit_cases(table, [boosted.Case(replace(SPEC, share=share, step=1.0, rounds=1)) for share in shares])
+    for share, model in zip(shares, (one.full for one in fits)):
+        leaf = model.trees[0].leaf_of(x)
+        for node in np.unique(leaf):
+            y = np.sort(pdf.label[leaf == node].to_numpy())
+            assert model.predict(x[leaf == node])[0] == pytest.approx(y[int(np.ceil(share * len(y) - 1e-9)) - 1], abs=1e-9)
+
+
+def test_bins_end_at_quantiles_and_hold_the_order(rows):
+    table = boosted.training_rows(rows, bins=8)
+    assert table.rows == rows.count() and table.labels == ("label",)
+    x = np.array([r.features.toArray() for r in rows.collect()])
+    for k, edges in enumerate(table.edges):
+        assert len(edges) <= 7 and set(edges) <= set(x[:, k])
+        assert np.bincount(np.searchsorted(edges, x[:, k]), minlength=1).max() <= len(x) / 8 + max(
+            np.unique(x[:, k], return_counts=True)[1]) + 1
+    blocks = [np.frombuffer(r.codes, np.uint8).reshape(-1, x.shape[1]) for r in table.blocks.collect()]
+    got = sorted(map(tuple, np.concatenate(blocks).tolist()))
+    want = np.column_stack([np.searchsorted(edges, x[:, k]) for k, edges in enumerate(table.edges)])
+    assert got == sorted(map(tuple, want.tolist()))
+    with pytest.raises(ValueError, match="bins"):
+        boosted.training_rows(rows, bins=500)
+
+
+def test_tables_without_rows_or_weight_are_refused(rows):
+    for empty in (rows.where("false"), rows.withColumn("weight", F.lit(0.0))):
+        for loss in ("squared", "quantile"):
+            with pytest.raises(ValueError, match="weight"):
+                boosted.boost(replace(SPEC, loss=loss), boosted.training_rows(empty))
+    with pytest.raises(ValueError, match="no label"):
+        boosted.boost(SPEC, boosted.training_rows(rows), label="other")
+
+
 def test_permuting_an_unused_feature_changes_nothing(rows):
     one = rows.where("series = 'a'")
-    model = SPEC.estimator("weight", 3).fit(one)
+    model = boosted.boost(replace(SPEC, rounds=3), boosted.training_rows(one))
     table = {r.feature: r.importance for r in importance.permutation_importance(
         model, one, CALENDAR, keys=["series", "Date"], buckets=3).collect()}
-    gains = {r.feature: r.importance for r in importance.tree_importance(model, one, CALENDAR).collect()}
-    assert set(table) == set(CALENDAR)
-    assert all(table[name] == 0.0 for name in CALENDAR if gains[name] == 0.0)
+    used = {CALENDAR[k] for tree in model.trees for k in tree.feature if k >= 0}
+    shares = {r.feature: r.importance for r in forest.tree_attribution(one, {"m": model}, CALENDAR).collect()}
+    assert set(table) == set(shares) == set(CALENDAR) and used != set(CALENDAR)
+    assert all(table[name] == shares[name] == 0.0 for name in CALENDAR if name not in used)
     assert max(table.values()) > 0.0
 
 
+def brute_force_shares(tree, row, width):
+    """Shapley values over all coalitions; features left out follow the cover."""
+    def value(known, node=0):
+        feature = tree.feature[node]
+        if feature < 0:
+            return tree.value[node]
+        left, right = tree.left[node], tree.right[node]
+        if feature in known:
+            return value(known, left if row[feature] <= tree.threshold[node] else right)
+        return (tree.cover[left] * value(known, left) + tree.cover[right] * value(known, right)) / tree.cover[node]
+
+    out = np.zeros(width)
+    for k in range(width):
+        others = [j for j in range(width) if j != k]
+        for size in range(width):
+            share = math.factorial(size) * math.factorial(width - 1 - size) / math.factorial(width)
+            for chosen in itertools.combinations(others, size):
+                out[k] += share * (value({*chosen, k}) - value(set(chosen)))
+    return out
+
+
+def test_attribution_equals_all_coalitions_and_adds_up(spark, rows):
+    model = boosted.boost(
+        boosted.TreeSpec("squared", "squared", 0.5, 4, min_leaf=3, rounds=4, feature_share=0.6), boosted.training_rows(rows))
+    explained = forest.with_attribution(model, rows, ["series", "Date", "features"]).toPandas()
+    x, shares = np.array([one.toArray() for one in explained.features]), np.array(explained.attribution.tolist())
+    np.testing.assert_allclose(shares.sum(axis=1), explained.prediction - model.mean(), atol=1e-10)
+    np.testing.assert_allclose(explained.prediction, model.predict(x), atol=1e-12)
+    for row in range(0, len(x), 150):
+        want = sum(w * brute_force_shares(tree, x[row], x.shape[1]) for tree, w in zip(model.trees, model.weights))
+        np.testing.assert_allclose(shares[row], want, atol=1e-10)
+    means = {r.feature: r.importance for r in forest.tree_attribution(rows, {"m": model}, CALENDAR).collect()}
+    np.testing.assert_allclose([means[name] for name in CALENDAR], np.abs(shares).mean(axis=0), atol=1e-12)
+    table = importance.tree_dependence(model, rows, CALENDAR, ["t_days", "is_weekend"], cells=10).toPandas()
+    counts = table.groupby("feature").n.agg(["sum", "size", "max"])
+    assert (counts["sum"] == len(x)).all() and counts.loc["is_weekend", "size"] == 2
+    assert counts.loc["t_days", "size"] == 10 and counts.loc["t_days", "max"] <= len(x) / 10 + 2
+
+
+def test_forest_of_no_trees_and_no_rows(rows):
+    empty = forest.Forest(1.5)
+    assert {r.prediction for r in forest.with_prediction(empty, rows, ["series"]).collect()} == {1.5}
+    assert forest.with_attribution(empty, rows.where("false"), ["series"]).count() == 0
+    found = forest.tree_attribution(rows.where("false"), {"m": empty}, CALENDAR).collect()
+    assert len(found) in (0, len(CALENDAR)) and all(r.importance is None for r in found)
+
+
+def test_recursion_with_trees_equals_brute_force(panel, days):
+    names = [*CALENDAR, *dynamic_names("Revenue")]
+    frame = with_dynamic_features(panel.select("series", "Date", "Revenue"), "Revenue", keys=["series"]).join(
+        days, "Date").withColumns({"label": to_log(F.col("Revenue")), "weight": F.lit(1.0)})
+    vectors = ridge.as_vectors(frame, names, ["series", "Date", "label", "weight"])
+    trees = boosted.boost(replace(SPEC, rounds=6), boosted.training_rows(vectors))
+    used = {names[k] for tree in trees.trees for k in tree.feature if k >= 0}
+    assert used & set(dynamic_names("Revenue"))
+    ahead = days.where(F.col("Date").between(F.lit(D(2021, 7, 1)), F.lit(D(2021, 7, 20))))
+    got = recursive_forecast(panel, ahead, forest.NamedForest(tuple(names), trees), "Revenue", keys=["series"]).toPandas()
+
+    day_rows = [r.asDict() for r in ahead.orderBy("Date").collect()]
+    for series, part in panel.toPandas().groupby("series"):
+        values = list(part.sort_values("Date")["Revenue"])
+        for day in day_rows:
+            x = past_values(values, "Revenue") | day
+            row = np.array([[0.0 if pd.isna(x[n]) else float(x[n]) for n in names]])
+            values.append(max(np.expm1(trees.predict(row)[0]), 0.0))
+        mine = got[got.series == series].sort_values("Date")
+        np.testing.assert_allclose(mine.Revenue, values[-20:], rtol=1e-9)
+
+
+def test_a_gap_before_the_forecast_is_refused(panel, days):
+    late = days.where(F.col("Date") > F.lit(D(2021, 7, 5)))
+    model = ridge.RidgeModel(("dow",), {"dow": 0.0}, {"dow": 1.0}, {"dow": 0.0}, 1.0)
+    with pytest.raises(ValueError, match="history ends"):
+        recursive_forecast(panel, late, model, "Revenue", keys=["series"])
+
+
 def test_search_draws_within_the_space(rows):
     small = {"absolute": {"step": ("log", 0.2, 0.5), "depth": ("int", 2, 3), "rounds": ("int", 1, 2)}}
-    trials = search.search(rows, [SPEC], target="Revenue", after=AFTER, trials=2, spaces=small).cache()
+    table = boosted.training_rows(rows)
+    trials = search.search(table, [SPEC], target="Revenue", after=AFTER, trials=2, spaces=small).cache()
     for r in trials.collect():
         assert 0.2 <= r.params["step"] <= 0.5 and r.params["depth"] in (2.0, 3.0) and r.score > 0
     best = search.best_trials(trials).first()
@@ -171,6 +341,36 @@ def test_search_draws_within_the_space(rows):
     assert SPEC.tuned(best.params).depth in (2, 3)
 
 
+def surface(params):
+    """A smooth valley with its floor away from the middle of the space."""
+    return (math.log(params["step"] / 0.02)) ** 2 + 0.05 * (params["depth"] - 6) ** 2 + 2 * (params["row_share"] - 0.9) ** 2
+
+
+def test_adaptive_search_beats_free_draws():
+    space = {"step": ("log", 0.001, 1.0), "depth": ("int", 2, 10), "row_share": ("real", 0.1, 1.0)}
+    wins, trials = 0, 60
+    for seed in range(12):
+        found = search.study(space, lambda wave: [surface(one) for one in wave], trials=trials, seed=seed)
+        assert len(found) == trials
+        for params, _ in found:
+            assert 0.001 <= params["step"] <= 1.0 and params["depth"] in range(2, 11) and 0.1 <= params["row_share"] <= 1.0
+        free = np.random.default_rng(seed)
+        wins += min(score for _, score in found) < min(surface(search.draw(space, free)) for _ in range(trials))
+    assert wins >= 10
+    again = search.study(space, lambda wave: [surface(one) for one in wave], trials=12, seed=3)
+    assert again == search.study(space, lambda wave: [surface(one) for one in wave], trials=12, seed=3)
+
+
+def test_trials_in_flight_differ():
+    space = {"row_share": ("real", 0.0, 1.0)}
+    done = [({"row_share": k / 20}, abs(k / 20 - 0.5)) for k in range(20)]
+    random, wave = np.random.default_rng(1), []
+    for _ in range(4):
+        wave.append(search.propose(space, done, wave, random))
+    assert len({round(one["row_share"], 3) for one in wave}) == 4
+    assert np.mean([abs(one["row_share"] - 0.5) for one in wave]) < 0.25
+
+
 def test_training_pipeline_end_to_end(history, future):
     tiny = [boosted.TreeSpec("squared", "squared", 0.4, 2, min_leaf=5, rounds=2)]
     run = training.train(

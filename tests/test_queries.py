@@ -9,10 +9,14 @@ import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
 ORACLES = entry.oracle_sql()
+# Fits of minutes; the same code is checked by queries that SQL can solve and in test_models.
 FITTED = {
-    "boosted_forecast", "specialist_forecast", "trained_variants", "component_forecast",
-    "recursive_forecast", "recursive_scores", "search_trials", "perm_importance",
+    "boosted_forecast", "specialist_forecast", "trained_variants", "component_forecast", "recursive_trees",
+    "recursive_forecast", "recursive_scores", "search_trials", "perm_importance", "forest_importance",
 }
+# Plans with a forest or a recursion in Python workers.
+PYTHON = {"recursive_given", "tree_squared", "tree_median", "tree_quantile", "tree_holdout", "tree_specialists",
+          "tree_components", "tree_attribution", "tree_dependence", "op11_fill_middle", "op13_lemp_search"}
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +40,7 @@ def test_query_equals_sql(spark, con, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     # A window over rows that an exchange first brings into one task.
     assert not re.search(r"- Window \[[^\n]*\n(?:[^\n]*- (?:Sort|Project|Filter) [^\n]*\n)*[^\n]*Exchange SinglePartition", plan)
-    if name not in {"feat_rolling", "feat_dynamic", "recursive_given"}:
+    if name not in PYTHON:
         assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
