@@ -7,8 +7,11 @@ text is put together from the lines between them.
 
 Windows are compared by two independent 64-bit hashes.  A window without any
 word never counts, so blank lines stay.  Null and empty texts and texts of
-fewer than three lines come back as they are.  Rows with one document id are
-one document; rows without an id come back as they are.
+fewer than three lines come back as they are.  Rows with one document id and one
+text are one document.  Different texts under one id are different documents at the
+same places: each is cut by its own lines alone, and a window that they hold at the
+same line stays in all of them.  Rows without an id come back as they are, and an
+empty table gives no rows.
 
 The first places are a grouping with map-side combining, so a passage that a
 third of all documents share is one row per task there; the join that brings
@@ -31,11 +34,13 @@ PLACES = 10_000_000_000
 
 
 def _windows(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """One row per window with a word: ``doc_id``, ``line``, two hashes."""
+    """One row per window with a word: ``doc_id``, ``copy`` (a hash of the text), ``line``,
+    two hashes."""
     rows = docs.where(F.col(doc_id).isNotNull()).select(
-        F.col(doc_id).alias("doc_id"), F.split(text, "\n").alias("lines")).where(F.size("lines") >= width)
+        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("copy"),
+        F.split(text, "\n").alias("lines")).where(F.size("lines") >= width)
     rows = rows.select(
-        "doc_id",
+        "doc_id", "copy",
         F.transform("lines", lambda line: F.xxhash64(line)).alias("one"),
         F.transform("lines", lambda line: F.xxhash64(F.lit(1), line)).alias("two"),
         F.transform("lines", lambda line: line.rlike(WORD)).alias("full"))
@@ -43,7 +48,7 @@ def _windows(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
     found = F.transform(F.sequence(F.lit(0), F.size("one") - width), lambda i: F.struct(
         i.alias("line"), F.xxhash64(*at("one", i)).alias("one"), F.xxhash64(F.lit(1), *at("two", i)).alias("two"),
         F.greatest(*at("full", i)).alias("full")))
-    return rows.select("doc_id", F.inline(found)).where("full").drop("full")
+    return rows.select("doc_id", "copy", F.inline(found)).where("full").drop("full")
 
 
 def _place(doc_id: str, line: str) -> Column:
@@ -53,7 +58,7 @@ def _place(doc_id: str, line: str) -> Column:
 def covered_lines(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = LINES,
 ) -> DataFrame:
-    """``doc_id`` and ``cuts``: the merged intervals of lines to remove, as an array
+    """``doc_id``, ``copy`` and ``cuts``: the merged intervals of lines to remove, as an array
     of (first, past) in order.  Documents without any have no row."""
     windows = _windows(docs, doc_id, text, width).withColumn("place", _place("doc_id", "line"))
     first = windows.groupBy("one", "two").agg(
@@ -61,14 +66,14 @@ def covered_lines(
     repeated = cut_shuffled(first.where("first_place < last_place").drop("last_place"))
     later = windows.join(repeated, ["one", "two"]).where("place > first_place")
     # Sorted starts become intervals wherever the next window begins past the end.
-    starts = later.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("at"))
+    starts = later.groupBy("doc_id", "copy").agg(F.array_sort(F.collect_set("line")).alias("at"))
     edges = starts.select(
-        "doc_id", "at",
+        "doc_id", "copy", "at",
         F.filter("at", lambda line, i: F.coalesce(line > F.get("at", i - 1) + width, F.lit(True))).alias("opens"),
         F.transform(
             F.filter("at", lambda line, i: F.coalesce(line + width < F.get("at", i + 1), F.lit(True))),
             lambda line: line + width).alias("closes"))
-    return edges.select("doc_id", F.arrays_zip(
+    return edges.select("doc_id", "copy", F.arrays_zip(
         F.col("opens").alias("first"), F.col("closes").alias("past")).alias("cuts"))
 
 
@@ -78,8 +83,9 @@ def dedup_lines(
     """``docs`` with the covered lines taken out of the text.  Three columns are
     added, and replace any of these names: ``n_lines``, ``n_removed`` and ``cuts``."""
     found = covered_lines(docs, doc_id=doc_id, text=text, width=width).select(
-        F.col("doc_id").alias("cut_id"), "cuts")
-    joined = packed(docs, doc_id, text).join(found, F.col(doc_id) == F.col("cut_id"), "left")
+        F.col("doc_id").alias("cut_id"), "copy", "cuts")
+    joined = packed(docs, doc_id, text).join(
+        found, (F.col(doc_id) == F.col("cut_id")) & (F.xxhash64(text) == F.col("copy")), "left")
     # Lines are split and joined again only where something goes.
     joined = joined.withColumn("lines", F.when(F.col("cuts").isNotNull(), F.split(text, "\n")))
     starts = F.concat(F.array(F.lit(0)), F.transform("cuts", lambda cut: cut["past"]))

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from samples import awkward, frame, prose
 
-from tallycast.llm import fill_middle, lexical_search, queries, toxicity
+from tallycast.llm import fill_middle, lexical_search, line_dedup, queries, toxicity
 
 
 def written(tmp_path, **tables):
@@ -261,3 +261,12 @@ def test_pruned_search_visits_buckets_exactly():
         scores = [(-sum(weight.get(t, 0) * v for t, v in zip(lists[k].tolist(), impacts[k].tolist())), k) for k in range(300)]
         expected = sorted(one for one in scores if one[0] < 0)[:10]
         assert [(-s, d) for s, d in zip(best.scores.tolist(), best.docs.tolist())] == expected
+
+
+def test_texts_of_one_id_lose_only_their_own_lines(spark):
+    rows = [(1, "a\nb\nc"), (5, "a\nb\nc\nd"), (5, "unique one\nunique two\nunique three\nunique four"),
+            (5, "x\na\nb\nc"), (6, "unique one\nunique two\nunique three\nlast"), (6, "unique one\nunique two\nunique three\nlast")]
+    expected = sorted([(1, "a\nb\nc"), (5, "d"), (5, rows[2][1]), (5, "x"), (6, "last"), (6, "last")])
+    for order in (rows, rows[::-1]):
+        got = line_dedup.dedup_lines(frame(spark, order).repartition(3))
+        assert sorted((row["doc_id"], row["text"]) for row in got.collect()) == expected
