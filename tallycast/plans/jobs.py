@@ -62,8 +62,12 @@ class Prepared:
 
 
 def read_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily sales as a panel with the one series ``all``."""
-    return read_csv_table(spark, folder, "sales").withColumn("series", F.lit("all"))
+    """Daily sales as a panel: by the column ``series`` where the file has one, else with
+    the one series ``all``.  Rows of a panel without a series are left out."""
+    sales = read_csv_table(spark, folder, "sales", further={"series": "string"})
+    if "series" in sales.columns:
+        return sales.where("series is not null")
+    return sales.withColumn("series", F.lit("all"))
 
 
 def prepare(
@@ -233,12 +237,15 @@ def forecast_components(
 ) -> DataFrame:
     """Orders times order value; the daily components are kept as a table below ``out``."""
     data = prepare(spark, folder, period)
-    parts = inputs.cached_table(
-        spark, f"{out}/daily_components",
-        lambda: daily_components(
-            read_csv_table(spark, folder, "orders"), read_csv_table(spark, folder, "order_items")
-        ).withColumn("series", F.lit("all")),
-        force=force)
+
+    def counted() -> DataFrame:
+        orders = read_csv_table(spark, folder, "orders", further={"series": "string"})
+        lines = read_csv_table(spark, folder, "order_items")
+        if "series" not in orders.columns:
+            return daily_components(orders, lines).withColumn("series", F.lit("all"))
+        return daily_components(orders.where("series is not null"), lines, keys=KEYS)
+
+    parts = inputs.cached_table(spark, f"{out}/daily_components", counted, force=force)
     rows = cut_lineage(components.with_components(data.history, parts, keys=KEYS))
     result = cut_lineage(components.component_forecast(
         rows, data.future, data.features, cogs_ratio(data.sales, keys=KEYS), keys=KEYS,
@@ -249,9 +256,10 @@ def forecast_components(
 
 def forecast_recursively(
     spark: SparkSession, folder: str, out: str, *, period: Period = Period(),
-    anchors: Mapping[str, float] = constants.RECURSIVE_ANCHOR,
+    anchors: Mapping[str, float] = constants.RECURSIVE_ANCHOR, trees: boosted.TreeSpec | None = None,
 ) -> DataFrame:
-    """Day-by-day forecast; writes it with one-step hold-out scores of each target."""
+    """Day-by-day forecast by ridge, or by ``trees``; writes it with one-step hold-out
+    scores of the ridge model of each target."""
     data = prepare(spark, folder, period)
     names = data.features
     scores = {}
@@ -263,12 +271,12 @@ def forecast_recursively(
         scores[target] = {"mae": row.mae, "rmse": row.rmse, "r2": row.r2}
     result, models = recursive.recursive_plan(
         data.sales, data.days, data.future_days, names, keys=KEYS,
-        warmup_end=period.warmup_end, anchors=anchors)
+        warmup_end=period.warmup_end, anchors=anchors, trees=trees, after=period.holdout_after)
     result = cut_lineage(result)
     _write_one(sinks.as_forecast_file(result), f"{out}/recursive")
     sinks.write_metadata(sinks.run_metadata(
         spark, numbers={f"n_features_{t}": float(len(m.features)) for t, m in models.items()},
-        labels={"model": "ridge"}, scores=scores), f"{out}/recursive_metadata")
+        labels={"model": "ridge" if trees is None else trees.name}, scores=scores), f"{out}/recursive_metadata")
     return result
 
 

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast.functions.scalars import parse_date
 from tallycast.models import importance, ridge
-from tallycast.operators import metrics
+from tallycast.operators import metrics, quantiles, sketches
 from tallycast.operators.dynamic import dynamic_names
 from tallycast.plans import recursive as recursive_plan
 from tallycast.registry import driver
@@ -41,8 +42,7 @@ def csv_unreadable(spark, sf):
     """Cells of written web traffic that are no number, per column."""
     folder = _scratch(spark, "csv")
     lines = driver.table(spark, sf, "lineitem").select(
-        F.col("l_shipmode").alias("traffic_source") if "l_shipmode" in driver.table(spark, sf, "lineitem").columns
-        else F.col("l_returnflag").alias("traffic_source"),
+        F.col("l_linestatus").alias("traffic_source"),
         F.when(F.col("l_returnflag") == "R", "n/a").otherwise(F.col("l_discount").cast("string")).alias("bounce_rate"))
     lines.write.option("header", True).csv(f"{folder}/web_traffic.csv")
     return unreadable_cells(spark, folder, "web_traffic")
@@ -130,8 +130,35 @@ def run_scores(spark, sf):
         own["mae"].alias("mae"), own["rmse"].alias("rmse"), own["r2"].alias("r2")), 4, "mae", "rmse", "r2")
 
 
+def distinct_customers(spark, sf):
+    """Customers with an order per quarter: exact, and whether the union of daily sketches
+    comes within four standard errors."""
+    orders = driver.orders(spark, sf)
+    quarter = F.date_trunc("quarter", "Date").cast("date")
+    about = sketches.distinct_in(
+        sketches.daily_sketches(orders, "customer_id", date="order_date"), quarter, name="n_about")
+    exact = orders.where("order_date is not null").groupBy(
+        F.date_trunc("quarter", "order_date").cast("date").alias("period")).agg(
+            F.count_distinct("customer_id").alias("n_customers"))
+    near = F.abs(F.col("n_about") - F.col("n_customers")) <= 1 + 4 * sketches.standard_error() * F.col("n_customers")
+    return exact.join(about, "period").select("period", "n_customers", near.alias("near"))
+
+
+def price_quantiles(spark, sf):
+    """Median and deciles of the line price over all lines as one group, and per return flag."""
+    lines = driver.table(spark, sf, "lineitem")
+    parts = []
+    for share in (0.1, 0.5, 0.9):
+        # A limit far below the group's size, so that ranges are narrowed down.
+        whole = quantiles.group_quantiles(lines, "l_extendedprice", share, limit=1 << 12)
+        parts.append(whole.select(F.lit("all").alias("flag"), F.lit(share).alias("share"), "quantile"))
+        flags = quantiles.group_quantiles(lines, "l_extendedprice", share, keys=["l_returnflag"], limit=1 << 12)
+        parts.append(flags.select(F.col("l_returnflag").alias("flag"), F.lit(share).alias("share"), "quantile"))
+    return rounded(reduce(DataFrame.unionByName, parts), 6, "quantile")
+
+
 QUERIES = {fn.__name__: fn for fn in (
-    csv_sales, csv_unreadable, cached_components, parameter_file, importance_file, text_dates, column_moments, warmup_rows,
+    distinct_customers, price_quantiles, csv_sales, csv_unreadable, cached_components, parameter_file, importance_file, text_dates, column_moments, warmup_rows,
     run_scores,
 )}
 
@@ -152,6 +179,13 @@ SELECT feature, round(max(share) FILTER (model = 'model_a'), 6) AS model_a,
 
 
 ORACLE = {
+    "distinct_customers": """
+SELECT CAST(date_trunc('quarter', o_orderdate) AS DATE) AS period, count(DISTINCT o_custkey) AS n_customers, true AS near
+FROM orders GROUP BY 1""",
+    "price_quantiles": " UNION ALL ".join(
+        f"SELECT {flag} AS flag, {share}::DOUBLE AS share, round(quantile_cont(l_extendedprice, {share}), 6) AS quantile "
+        f"FROM lineitem {group}" for share in (0.1, 0.5, 0.9)
+        for flag, group in (("'all'", ""), ("l_returnflag", "GROUP BY l_returnflag"))),
     "csv_sales": f"""WITH {DAILY_SQL}
 SELECT "Date", round(sum("Revenue"), 4) AS "Revenue", round(sum("COGS"), 4) AS "COGS" FROM daily GROUP BY 1""",
     "csv_unreadable": """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,19 +10,22 @@ from pyspark.sql import functions as F
 from tallycast.sources.schemas import schema_of
 
 
-def read_csv_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A CSV table with its fixed schema.
+def read_csv_table(
+    spark: SparkSession, folder: str, table: str, *, further: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """A CSV table with its fixed schema, and those of the ``further`` columns (name to
+    type) that the file has.
 
-    Columns are matched by header name, so files may hold further columns or
+    Columns are matched by header name, so files may hold other columns or
     another order; empty cells and NaN become null.
     """
     path = f"{folder}/{table}.csv"
     wanted = schema_of(table)
     raw = spark.read.option("header", True).csv(path)
+    more = {name: kind for name, kind in (further or {}).items() if name in raw.columns}
     return raw.select(
-        *[_typed(F.col(field.name), field.dataType.simpleString()).alias(field.name)
-          for field in wanted]
-    )
+        *[_typed(F.col(field.name), field.dataType.simpleString()).alias(field.name) for field in wanted],
+        *[_typed(F.col(name), kind).alias(name) for name, kind in more.items()])
 
 
 def unreadable_cells(spark: SparkSession, folder: str, table: str) -> DataFrame:

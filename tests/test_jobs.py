@@ -110,3 +110,23 @@ def test_other_forecasts(spark, folder, tmp_path):
     assert base.count() == 20
     for name in ("components", "recursive", "baseline"):
         assert len(published(spark, f"{out}/{name}")) == 20
+
+
+def test_jobs_take_a_panel(spark, folder, tmp_path):
+    for name in ("promotions", "order_items"):
+        (tmp_path / f"{name}.csv").write_text(open(f"{folder}/{name}.csv").read())
+    sales = open(f"{folder}/sales.csv").read().splitlines()
+    (tmp_path / "sales.csv").write_text("\n".join(
+        [sales[0] + ",series"] + [f"{line},{s}" for s in ("north", "south") for line in sales[1:]] + ["2021-01-01,1,1,"]) + "\n")
+    orders = open(f"{folder}/orders.csv").read().splitlines()
+    (tmp_path / "orders.csv").write_text("\n".join(
+        [orders[0] + ",series"] + [f"{line},{'north' if k % 2 else 'south'}" for k, line in enumerate(orders[1:])]) + "\n")
+    out = str(tmp_path / "out")
+    parts = jobs.forecast_components(spark, str(tmp_path), out, period=PERIOD, specs=SPECS, seeds=(1,), anchor=2000.0)
+    means = {r["series"]: r["m"] for r in parts.groupBy("series").agg(F.avg("Revenue").alias("m")).collect()}
+    assert means == {"north": pytest.approx(2000.0), "south": pytest.approx(2000.0)}
+    base = jobs.forecast_baseline(spark, str(tmp_path), out, period=PERIOD)
+    assert base.groupBy("series").count().collect() and base.count() == 40
+    walk = jobs.forecast_recursively(
+        spark, str(tmp_path), out, period=PERIOD, anchors={"Revenue": 900.0, "COGS": 700.0}, trees=SPECS[0])
+    assert walk.count() == 40 and spark.read.json(f"{out}/recursive_metadata").first().labels.model == "squared"
