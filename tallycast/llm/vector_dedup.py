@@ -3,8 +3,9 @@
 Vectors are compared within a label (and a length).  Vectors that are null,
 empty, zero or hold null or non-finite components, and vectors without a label
 or an id, link with nothing.  Equal vectors of a label are one class; only
-classes are paired, and their members are counted.  Rows with one id are one
-vector.
+classes are paired, and their members are counted.  Rows with one id are one vector;
+where they differ, the row with the smallest hash of label and vector counts, in
+whatever order they come.  An empty table gives no rows.
 
 A hash rotates the unit vector by three rounds of random signs and the fast
 Hadamard transform and takes the vertex of the cross-polytope it is nearest
@@ -139,6 +140,17 @@ def verified(pairs: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
     return joined.mapInArrow(checked, "a long, b long, cosine double")
 
 
+def one_per_id(vectors: DataFrame) -> DataFrame:
+    """``vectors`` without the rows whose id has another row that counts.  Only ids with
+    different rows are looked up; equal rows all stay."""
+    pick = F.xxhash64("label", "embedding")
+    picks = vectors.select("vec_id", pick.alias("pick")).groupBy("vec_id").agg(
+        F.min("pick").alias("least"), F.max("pick").alias("most"))
+    unequal = cut_shuffled(picks.where("least < most").select("vec_id", "least"))
+    kept = vectors.join(unequal, "vec_id", "left").where(F.col("least").isNull() | (pick == F.col("least")))
+    return kept.drop("least")
+
+
 def vector_classes(
     table: DataFrame, *, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
     least: float = COSINE,
@@ -147,7 +159,7 @@ def vector_classes(
     verified links ``a < b`` between vectors that stand for their equals."""
     vectors = table.select(
         F.col(vec_id).cast("long").alias("vec_id"), F.col(label).alias("label"), F.col(embedding).alias("embedding"))
-    usable = vectors.where("vec_id is not null and label is not null and embedding is not null")
+    usable = one_per_id(vectors.where("vec_id is not null and label is not null and embedding is not null"))
     rows = cut_shuffled(hashed(usable).dropDuplicates(["vec_id"]))
     same = ["label", "width", "one", "two"]
     classes = cut_shuffled(rows.groupBy(*same).agg(F.min("vec_id").alias("standing"), F.count("*").alias("copies")))

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from samples import awkward, frame, prose
 
-from tallycast.llm import fill_middle, lexical_search, line_dedup, queries, toxicity
+from tallycast.llm import fill_middle, lexical_search, line_dedup, queries, toxicity, vector_dedup
 
 
 def written(tmp_path, **tables):
@@ -270,3 +270,20 @@ def test_texts_of_one_id_lose_only_their_own_lines(spark):
     for order in (rows, rows[::-1]):
         got = line_dedup.dedup_lines(frame(spark, order).repartition(3))
         assert sorted((row["doc_id"], row["text"]) for row in got.collect()) == expected
+
+
+def test_one_vector_of_an_id_counts_whatever_the_order(spark):
+    one, two = [1.0, 0.0, 0.0, 0.1], [0.0, 1.0, 0.1, 0.0]
+    near = [[1.0, 0.01, 0.0, 0.1], [0.01, 1.0, 0.1, 0.0]]
+    rows = [(1, one, 1), (1, two, 1), (2, near[0], 1), (3, near[1], 1), (4, one, 1), (4, one, 1)]
+    schema = "vec_id long, embedding array<float>, label int"
+    found = []
+    for order in (rows, rows[::-1]):
+        table = spark.createDataFrame(order, schema).repartition(2)
+        got = vector_dedup.vector_classes(table)[0].collect()
+        assert len(got) == len(rows)
+        found.append({tuple(row) for row in got})
+    assert found[0] == found[1] and len(found[0]) == 4
+    links = {row[0]: row[1] for row in found[0]}
+    # Id 1 goes with 2 and 4, or with 3, never with all of them.
+    assert links in ({1: 2, 2: 2, 3: 0, 4: 2}, {1: 1, 2: 1, 3: 1, 4: 1})
