@@ -21,6 +21,8 @@ from tallycast.sources import inputs, sinks
 from tallycast.sources.tables import read_csv_table, unreadable_cells
 
 KEYS = driver.KEYS
+# Columns of the moments query and the units they are measured in.
+_LINE_COLUMNS = {"l_quantity": 100.0, "l_extendedprice": 100_000.0, "l_discount": 1.0, "l_tax": 1.0}
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -64,7 +66,7 @@ def parameter_file(spark, sf):
     """Parameters per brand and type size, the best of several, written and read back."""
     path = f"{_scratch(spark, 'parameters')}/best"
     rows = driver.products(spark, sf).groupBy("category", (F.col("size") % 3).alias("third")).agg(
-        F.max("size").cast("double").alias("depth"), F.min("price").alias("score"))
+        F.max("size").cast("double").alias("depth"), (F.min("price") * 1000 + F.max("size")).alias("score"))
     sinks.write_metadata(rows.select(
         F.col("category").alias("target"), F.lit("trees").alias("model"),
         F.create_map(F.lit("depth"), F.col("depth")).alias("params"), "score"), path)
@@ -94,12 +96,11 @@ def text_dates(spark, sf):
 
 def column_moments(spark, sf):
     """Mean and population deviation of line columns, in one pass over vectors."""
-    names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    lines = driver.table(spark, sf, "lineitem").select(
-        array_to_vector(F.array(*[F.col(name).cast("double") for name in names])).alias("features"))
+    lines = driver.table(spark, sf, "lineitem").select(array_to_vector(F.array(*[
+        F.col(name).cast("double") / unit for name, unit in _LINE_COLUMNS.items()])).alias("features"))
     found = ridge.column_moments(lines)
-    rows = [(name, int(found.n), float(found.means[k]), float(found.scales[k])) for k, name in enumerate(names)]
-    return rounded(spark.createDataFrame(rows, "feature string, n long, mean double, scale double"), 6, "mean", "scale")
+    rows = [(name, int(found.n), float(found.means[k]), float(found.scales[k])) for k, name in enumerate(_LINE_COLUMNS)]
+    return rounded(spark.createDataFrame(rows, "feature string, n long, mean double, scale double"), 9, "mean", "scale")
 
 
 def warmup_rows(spark, sf):
@@ -162,7 +163,6 @@ QUERIES = {fn.__name__: fn for fn in (
     run_scores,
 )}
 
-_LINE_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
 def _importance_sql() -> str:
@@ -195,7 +195,7 @@ UNION ALL SELECT 'traffic_source', 0, count(*) FROM lineitem""",
 WITH {COMPONENTS_SQL}
 SELECT series, "Date", n_orders, round(rev_recon, 4) AS rev_recon, CAST(round(CAST(aov AS DECIMAL(38,8)), 4) AS DOUBLE) AS aov FROM comp""",
     "parameter_file": """
-WITH t AS (SELECT p_brand AS target, CAST(max(p_size) AS DOUBLE) AS depth, min(p_retailprice) AS score
+WITH t AS (SELECT p_brand AS target, CAST(max(p_size) AS DOUBLE) AS depth, min(p_retailprice) * 1000 + max(p_size) AS score
            FROM part GROUP BY p_brand, p_size % 3)
 SELECT target, 'trees' AS model, arg_min(depth, score) AS depth FROM t GROUP BY 1""",
     "importance_file": _importance_sql(),
@@ -203,8 +203,9 @@ SELECT target, 'trees' AS model, arg_min(depth, score) AS depth FROM t GROUP BY
 WITH d AS (SELECT CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS day FROM orders)
 SELECT CAST(year(day) AS INTEGER) AS year, count(*) AS n, count(day) AS known, max(day) AS last_day FROM d GROUP BY 1""",
     "column_moments": " UNION ALL ".join(
-        f"SELECT '{name}' AS feature, count(*) AS n, round(avg({name}), 6) AS mean, round(stddev_pop({name}), 6) AS scale FROM lineitem"
-        for name in _LINE_COLUMNS),
+        f"SELECT '{name}' AS feature, count(*) AS n, round(avg({name}::DOUBLE / {unit!r}::DOUBLE), 9) AS mean, "
+        f"round(stddev_pop({name}::DOUBLE / {unit!r}::DOUBLE), 9) AS scale FROM lineitem"
+        for name, unit in _LINE_COLUMNS.items()),
     "warmup_rows": f"""WITH {PANEL_SQL},
 n AS (SELECT series, "Date", row_number() OVER (PARTITION BY series ORDER BY "Date") AS k FROM panel)
 SELECT series, count(*) AS n, min("Date") AS first_date, max("Date") AS last_date, count(*) FILTER (k > 366) AS n_year_lags
