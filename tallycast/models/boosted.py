@@ -125,7 +125,8 @@ def training_rows(
         F.col(weight).cast("double").alias("w"), F.datediff(date, F.lit("1970-01-01")).alias("day"),
         F.quarter(date).alias("quarter")))
     count, width = given.agg(F.count("*"), F.max(F.size("x"))).first()
-    shares = [k / bins for k in range(1, bins)]
+    # One column for all features: literals cost more to make than to use.
+    shares = F.array(*[F.lit(k / bins) for k in range(1, bins)])
     cuts = given.agg(F.array(*[
         F.percentile_approx(F.get("x", F.lit(k)), shares, 10_000) for k in range(width or 0)])).first()[0] if count else []
     edges = tuple(np.unique(np.array(one or [], float)) for one in cuts)

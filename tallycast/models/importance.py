@@ -112,7 +112,7 @@ def dependence(
     have fewer cells.
     """
     names = list(attributions)
-    shares = [k / cells for k in range(1, cells)]
+    shares = F.array(*[F.lit(k / cells) for k in range(1, cells)])
     edges = df.agg(F.struct(*[
         F.array_distinct(F.percentile_approx(F.col(name).cast("double"), shares, accuracy)).alias(name)
         for name in names])).scalar()

@@ -4,7 +4,9 @@ Spark's exact percentile keeps every different value of a group in one buffer.
 Here a group is narrowed down instead: its range is cut into ``CELLS`` cells, one
 pass sums the rows per cell, and the cell in which the wanted rank lies becomes
 the next range.  Only a range of at most ``limit`` rows is sorted, after equal
-values have been added up.  The driver sees one number a pass.
+values have been added up.  Ranges meet the rows by broadcast while there are at
+most ``BROADCAST_GROUPS`` groups, so that a large group stays spread over all tasks.
+The driver sees two numbers a pass.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from tallycast.session import cut_lineage
 
 CELLS = 1024
 LIMIT = 1 << 20
+BROADCAST_GROUPS = 1 << 16
 
 
 def group_quantiles(
@@ -33,9 +36,12 @@ def group_quantiles(
     has no row; an empty table gives no rows.
     """
     own = F.lit(1.0) if weight is None else F.col(weight).cast("double")
-    rows = df.select(
-        F.struct(*[F.col(f"`{key}`") for key in keys], F.lit(0).alias("__all")).alias("g"),
-        F.col(value).cast("double").alias("v"), own.alias("w")).where("v is not null and not isnan(v) and w > 0")
+    known = df.select(*[F.col(f"`{key}`") for key in keys], F.col(value).cast("double").alias("__v"), own.alias("__w")).where(
+        "__v is not null and not isnan(__v) and __w > 0")
+    # The last field is 0 in every row; as a constant it would make the joins cross joins.
+    rows = known.select(
+        F.struct(*[F.col(f"`{key}`") for key in keys], F.least(F.abs("__v"), F.lit(0.0)).alias("__all")).alias("g"),
+        F.col("__v").alias("v"), F.col("__w").alias("w"))
     found = rows.groupBy("g").agg(
         F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n"), F.sum("w").alias("total"))
     place = F.lit(share) * (F.col("total") - 1)
@@ -51,7 +57,8 @@ def group_quantiles(
 
 def _within(rows: DataFrame, state: DataFrame) -> DataFrame:
     """Rows inside the range of their group."""
-    return rows.join(state, rows["g"].eqNullSafe(state["g"])).drop(rows["g"]).where("v between lo and hi")
+    ranges = F.broadcast(state) if state.count() <= BROADCAST_GROUPS else state
+    return rows.join(ranges, rows["g"].eqNullSafe(state["g"])).drop(rows["g"]).where("v between lo and hi")
 
 
 def _so_far(order: str) -> WindowSpec:
