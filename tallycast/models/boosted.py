@@ -192,6 +192,11 @@ class _Fit:
     errors: list[float] = field(default_factory=list)
     absolute: list[float] = field(default_factory=list)
 
+    @property
+    def bare(self) -> _Fit:
+        """The fit without what it has grown, to travel with tasks."""
+        return replace(self, trees=[], errors=[], absolute=[])
+
     @property
     def best(self) -> int:
         return int(np.argmin(self.errors)) + 1
@@ -317,10 +322,11 @@ class Booster:
         """Starts margins at the mean or quantile of the labels."""
         place = {name: k for k, name in enumerate(self.table.labels)}
         squared = [fit for fit in fits if fit.case.spec.loss == "squared"]
+        bare = [fit.bare for fit in squared]
 
         def sums(block: tuple) -> np.ndarray:
             return np.array([(w @ block[2][:, place[fit.case.label]], w.sum())
-                             for fit in squared for w in [_weights(fit, block)]])
+                             for fit in bare for w in [_weights(fit, block)]])
 
         if squared:
             totals = self.state.map(sums).reduce(np.add)
@@ -353,7 +359,7 @@ class Booster:
             asked = [k for k, fit in enumerate(fits) if level < fit.case.spec.depth and growing[k].open]
             if not asked:
                 break
-            plans = [(k, fits[k], growing[k].tree(), growing[k].open, len(fits[k].trees)) for k in asked]
+            plans = [(k, fits[k].bare, growing[k].tree(), growing[k].open, len(fits[k].trees)) for k in asked]
             for k, found in self._level(plans):
                 growing[k].split(found, fits[k].case.spec.min_leaf)
         trees = [one.tree() for one in growing]
@@ -376,11 +382,11 @@ class Booster:
 
     def _look(self, fits: Sequence[_Fit]) -> None:
         """Adds the hold-out errors of the round; hold-out rows are scored unweighted."""
-        place = {name: k for k, name in enumerate(self.table.labels)}
+        place, bare = {name: k for k, name in enumerate(self.table.labels)}, [fit.bare for fit in fits]
 
         def errors(block: tuple) -> np.ndarray:
-            out = np.zeros((len(fits), 3))
-            for k, fit in enumerate(fits):
+            out = np.zeros((len(bare), 3))
+            for k, fit in enumerate(bare):
                 held = block[4] > fit.held_after
                 residual = (block[2][:, place[fit.case.label]] - block[6][fit.slot])[held]
                 out[k] = fit.case.spec.error(residual).sum(), np.abs(residual).sum(), len(residual)
@@ -419,6 +425,7 @@ class Booster:
         """Weighted quantile of the residuals in every node of each tree (of the labels
         themselves without a tree), NaN where there are none."""
         place = {name: k for k, name in enumerate(self.table.labels)}
+        asked = [(fit.bare, tree) for fit, tree in asked]
 
         def residuals(block: tuple) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
             for k, (fit, tree) in enumerate(asked):
