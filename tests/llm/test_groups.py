@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -233,6 +234,36 @@ def test_good_stretches_equal_brute_force():
             assert all(any(a < runs[q][0] + runs[q][2] and runs[p][0] < b for a, b, *_ in got) for p, q in lengths)
 
 
+def test_differences_equal_a_search_over_all_skips():
+    draw = random.Random(6)
+    for _ in range(400):
+        x, y = (np.array([draw.randrange(3) for _ in range(draw.randrange(16))], dtype=np.uint64) for _ in "xy")
+        expected = next(((i, j) for i, j in passages.SKIPS if len(x[i:i + 4]) == 4 == len(y[j:j + 4])
+                         and (x[i:i + 4] == y[j:j + 4]).all()), None)
+        assert passages._rejoined(x, y) == expected
+
+
+def test_passages_keep_no_shuffle_files_and_move_common_seeds_only(spark):
+    def files():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {name for file in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in (name := file.rsplit("/", 1)[-1])}
+
+    rows = [(n, f"{prose(2000 + n, 100)} {prose(2500 + n // 2, 60)}") for n in range(40)] + [(None, prose(2000, 100)), (50, None)]
+    docs = frame(spark, rows).select("doc_id", "text").where("doc_id is not null")
+    held = collections.defaultdict(set)
+    for row in passages.seeds(docs).collect():
+        held[row["seed"]].add(row["doc"])
+    common = {(row["seed"], row["first_doc"]) for row in passages.common_seeds(docs).collect()}
+    assert common == {(seed, min(of)) for seed, of in held.items() if len(of) > 1} and len(common) < len(held) / 2
+    before = files()
+    found = passages.passages(docs)
+    for _ in range(50):
+        if left := files() - before:
+            time.sleep(0.2)
+    assert not left
+    assert {(row["first_doc"], row["doc"]) for row in found.collect()} >= {(n, n + 1) for n in range(0, 40, 2)}
+
+
 def test_chains_equal_a_search_over_all_predecessors():
     draw = random.Random(5)
     for _ in range(60):
