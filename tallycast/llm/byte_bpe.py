@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -127,22 +127,31 @@ class Encoder:
         return out
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, *, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the ids of each whole text as a column of little-endian 32-bit
-    numbers, which replaces one of that name."""
-    docs = docs.drop(ids)
-    tokens = read_ranks(ranks_path)
+Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def _encoding(tokens: list[bytes], pattern: str, text: str, names: list[str], kept: list[int]) -> Batches:
+    """Batches as slices: the columns at the places ``kept``, then the ids of the texts,
+    under ``names``."""
     model = serialised_model(tokens)
-    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.BinaryType())])
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokens, model, pattern)
         for batch in rows:
             for part in row_slices(batch, text, SLICE_BYTES):
                 found = pa.array(encoder.encode(part.column(text).to_pylist()), type=pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns, found], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*map(part.column, kept), found], names=names)
 
-    return docs.mapInArrow(batches, schema)
+    return batches
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, *, text: str = "text", ids: str = "ids") -> DataFrame:
+    """``docs`` with the ids of each whole text as a column of little-endian 32-bit
+    numbers, which replaces one of that name."""
+    docs = docs.drop(ids)
+    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.BinaryType())])
+    kept = list(range(len(schema) - 1))
+    return docs.mapInArrow(_encoding(read_ranks(ranks_path), pattern, text, schema.names, kept), schema)
 
 
 class Decoder:
@@ -168,19 +177,36 @@ class Decoder:
         return b"".join(out)
 
 
+def _decoding(tokens: list[bytes], ids: str, names: list[str]) -> Batches:
+    """Batches as slices: their columns, then the bytes that the ids stand for, under ``names``."""
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder(tokens)
+        for batch in parts:
+            for part in row_slices(batch, ids, SLICE_BYTES):
+                found = [decoder.decode(one or b"") for one in part.column(ids).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, type=pa.binary())], names=names)
+
+    return batches
+
+
 def decode(rows: DataFrame, ranks_path: str, *, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``rows`` with the bytes that the ids stand for, in place of a column of that
     name; null ids give no bytes."""
     rows = rows.drop(decoded)
-    tokens = read_ranks(ranks_path)
     schema = T.StructType([*rows.schema.fields, T.StructField(decoded, T.BinaryType())])
+    return rows.mapInArrow(_decoding(read_ranks(ranks_path), ids, schema.names), schema)
 
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(tokens)
-        for batch in parts:
-            for part in row_slices(batch, ids, SLICE_BYTES):
-                found = [decoder.decode(one or b"") for one in part.column(ids).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(found, type=pa.binary())], names=schema.names)
 
-    return rows.mapInArrow(batches, schema)
+def round_trip(
+    docs: DataFrame, ranks_path: str, pattern: str, *, text: str = "text", ids: str = "ids", decoded: str = "decoded",
+) -> DataFrame:
+    """``encode``, then ``decode`` of what it gave, one after the other in the same
+    Python worker: a task needs one instead of two, and texts do not come back.
+    Columns are those of ``docs`` without the text, the ids and the decoded bytes."""
+    docs = docs.drop(ids, decoded)
+    tokens = read_ranks(ranks_path)
+    kept = [place for place, name in enumerate(docs.columns) if name != text]
+    binary = [T.StructField(name, T.BinaryType()) for name in (ids, decoded)]
+    schema = T.StructType([*[docs.schema[place] for place in kept], *binary])
+    there, back = _encoding(tokens, pattern, text, schema.names[:-1], kept), _decoding(tokens, ids, schema.names)
+    return docs.mapInArrow(lambda rows: back(there(rows)), schema)
