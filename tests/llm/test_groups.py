@@ -11,7 +11,7 @@ import pytest
 from samples import awkward, frame, prose
 
 import corpus_pipeline
-from tallycast.llm import line_dedup, mixing, near_dedup, passages, queries, vector_dedup
+from tallycast.llm import line_dedup, mixing, near_dedup, passages, queries, vector_dedup, words
 from tallycast.llm.components import components
 
 
@@ -234,6 +234,54 @@ def test_good_stretches_equal_brute_force():
             assert all(any(a < runs[q][0] + runs[q][2] and runs[p][0] < b for a, b, *_ in got) for p, q in lengths)
 
 
+def test_longest_stretch_of_few_runs_equals_that_of_many():
+    draw = random.Random(8)
+    for _ in range(300):
+        i, j, runs = 0, 0, []
+        for _ in range(draw.randrange(1, 40)):
+            runs.append((i, j, n := draw.choice([1, 4, 9, 30])))
+            i, j = i + n + draw.randrange(9), j + n + draw.randrange(9)
+        first, other, n = np.array(runs).T
+        columns = first, first + n, other, other + n, np.append(0, np.cumsum(n))
+        assert passages._longest_of_few(*[column.tolist() for column in columns], 50, 0.7) == passages._longest(*columns, 50, 0.7)
+
+
+def test_words_around_seeds_equal_plain_definitions():
+    draw = random.Random(7)
+    texts = [" ".join(f"é{draw.randrange(9)}" for _ in range(draw.choice([0, 1, 5, 12, 40, 90]))) for _ in range(40)]
+    found = words.words_of(pa.array([None, *texts, "x" * (words.BLOCK_BYTES + 9), ""]))
+    mix = lambda value: int(words.mixed(np.array([value % 2**64], dtype=np.uint64))[0])
+    polynomial = lambda values, base: sum(value * pow(base, k, 2**64) for k, value in enumerate(values))
+    each = [text.split() for text in ["", *texts, "x" * (words.BLOCK_BYTES + 9), ""]]
+    hashes = {word: mix(polynomial((byte + 1 for byte in word.encode()), int(words._BASE)))
+              for word in {word for row in each for word in row}}
+    assert found.hashes.tolist() == [hashes[word] for row in each for word in row]
+    run = lambda row: mix(polynomial([hashes[word] for word in row], int(words._RUN_BASE)) + len(row))
+    short = lambda key: int(np.array([key % 2**32], dtype=np.uint32).view(np.int32)[0])
+    expected = []
+    for number, row in enumerate(each):
+        runs = [run(row[k:k + 8]) for k in range(len(row) - 7)]
+        heads = range(max(len(runs) - 11, min(1, len(runs))))
+        for k in sorted({min(range(h, min(h + 12, len(runs))), key=lambda place: (runs[place], place)) for h in heads}):
+            def smallest(low, past):
+                near = [run(row[p:p + 3]) for p in range(max(low, 0), past) if p + 3 <= len(row)]
+                return short(mix(min(near))) if near else 0
+
+            expected.append((number, runs[k], short(run(row[max(k - passages.BEFORE, 0):k + 8 + passages.AFTER])),
+                             smallest(k - 20, k - 2), smallest(k + 8, k + 26)))
+    hashes_of, first, rows = passages.chosen_runs(found)
+    got = (rows, hashes_of, passages.surroundings(found, first, rows), *passages.smallest_near(found, first, rows))
+    assert list(zip(*[column.tolist() for column in got])) == expected
+
+
+def test_powers_are_made_once_for_all_blocks(monkeypatch):
+    column = pa.array([prose(3000, 400), None, prose(3001, 90) + " é"])
+    before = [part.tolist() for part in passages.seeds_of(column)]
+    calls = []
+    monkeypatch.setattr(words, "powers", lambda *given: calls.append(given))
+    assert [part.tolist() for part in passages.seeds_of(column)] == before and not calls
+
+
 def test_differences_equal_a_search_over_all_skips():
     draw = random.Random(6)
     for _ in range(400):
